@@ -97,10 +97,10 @@ def shingle_hashes(w: np.ndarray) -> np.ndarray:
     if len(w) == 0:
         return w
     if n < 1:
-        total = np.uint64(len(w))
-        for i, x in enumerate(w):
-            total = total + x * _MIX[i]
-        return mix(np.array([total + np.uint64(0x5851F42D4C957F2D)], np.uint64))
+        total = np.full(1, 0x5851F42D4C957F2D + len(w), np.uint64)
+        for i in range(len(w)):
+            total = total + w[i : i + 1] * _MIX[i]
+        return mix(total)
     out = w[:n] * _MIX[0]
     for j in range(1, WORDS):
         out = out + w[j : j + n] * _MIX[j]

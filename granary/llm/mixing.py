@@ -40,13 +40,18 @@ def topic_of(text: Column) -> Column:
     )
 
 
+def uniform(seed: int = 0) -> Column:
+    """A document's own number in [0, 1)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+
+
 def labelled(docs: DataFrame) -> DataFrame:
     """doc_id, source, lang, topic, tokens (words) and u, a uniform number of the document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spaces = F.length(text) - F.length(F.translate(text, " \n\t", ""))
     some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
-    u = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(0)), F.lit(1 << 40)) / float(1 << 40)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), some("source").alias("source"), some("lang").alias("lang"), topic_of(text).alias("topic"), (spaces + 1).cast("long").alias("tokens"), u.alias("u"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), some("source").alias("source"), some("lang").alias("lang"), topic_of(text).alias("topic"), (spaces + 1).cast("long").alias("tokens"), uniform().alias("u"))
 
 
 def default_targets(cells: DataFrame, dim: str, alpha: float) -> DataFrame:
@@ -103,3 +108,18 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: flo
     goals = {d: t if t is not None else default_targets(cells, d, alpha) for d, t in goals.items()}
     p = scratch.put(probabilities(rake(cells, goals, scratch, sweeps, tolerance), fraction).select(*DIMS, "weight", "p"))
     return x.join(p, list(DIMS)).select("doc_id", *DIMS, "tokens", "weight", "p", (F.col("u") < F.col("p")).alias("chosen"))
+
+
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = 0.7, fraction: float = 0.5, sweeps: int = 30, tolerance: float = 1e-4) -> DataFrame:
+    """The chosen rows of docs, all columns kept. Cells are joined where the row is, so no text is shuffled while they fit a
+    checked bound."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    cells = scratch.put(labelled(docs).groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
+    goals = {d: (targets or {}).get(d) for d in DIMS}
+    goals = {d: t if t is not None else default_targets(cells, d, alpha) for d, t in goals.items()}
+    p = scratch.put(probabilities(rake(cells, goals, scratch, sweeps, tolerance), fraction).select(*(F.col(d).alias(f"_granary_{d}") for d in DIMS), F.col("p").alias("_granary_p")))
+    p = F.broadcast(p) if p.count() <= 50_000 else p
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
+    on = (some("source") == F.col("_granary_source")) & (some("lang") == F.col("_granary_lang")) & (topic_of(text) == F.col("_granary_topic"))
+    return docs.join(p, on).where(uniform() < F.col("_granary_p")).select(*docs.columns)

@@ -112,3 +112,39 @@ def judge(docs: DataFrame, spread: float = 6.0, least: int = 200, scratch: Scrat
     for k, v in RATIOS.items():
         inside &= F.expr(v) <= F.coalesce(F.col(f"fence_{k}"), F.lit(FLOOR[k]))
     return x.withColumn("base_failed", failed).withColumn("kept", ~failed & inside)
+
+
+def keep(docs: DataFrame, spread: float = 6.0, least: int = 200) -> DataFrame:
+    """docs without the rejected rows, all columns kept. The fences come from all rows; each row is then counted again where
+    it is and judged by its group's fence, so no text is shuffled."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    counts = scratch.put(measure(docs))
+    limits = scratch.put(fences(sketch(counts), spread, least))
+    scratch.drop(counts)
+    small = limits.count() <= 20_000
+    names = [f"_granary_{x.split()[0]}" for x in COUNTS.split(", ")[3:]]
+    limits = limits.withColumnsRenamed({c: f"_granary_{c}" for c in limits.columns})
+    x = docs.mapInArrow(_beside(docs.columns), ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{n} long" for n in names]))
+    lang, source = F.col("lang").cast("string"), F.col("source").cast("string")
+    y = x.join(F.broadcast(limits) if small else limits, lang.eqNullSafe(F.col("_granary_lang")) & source.eqNullSafe(F.col("_granary_source")), "left")
+    inside = (F.col("_granary_n_words") >= 50) & (100 * F.col("_granary_n_repeat_words") <= 50 * F.col("_granary_n_words"))
+    for k, v in RATIOS.items():
+        ratio = F.expr(v.replace("n_", "_granary_n_").replace("word_chars", "_granary_word_chars"))
+        inside &= ratio <= F.coalesce(F.col(f"_granary_fence_{k}"), F.lit(FLOOR[k]))
+    return y.where(inside).select(*docs.columns)
+
+
+def _beside(columns: list[str]):
+    """The input's columns, then the counts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in slices(batches, ["text"]):
+            own = pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, pa.int64()), part.column("text"), pa.nulls(part.num_rows, pa.string()), pa.nulls(part.num_rows, pa.string())], names=["doc_id", "text", "lang", "source"])
+            got = list(_counts([own]))
+            names = [x.split()[0] for x in COUNTS.split(", ")[3:]]
+            added = [pa.concat_arrays([g.column(n) for g in got]) for n in names]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *added], names=[*columns, *(f"_granary_{n}" for n in names)])
+
+    return run

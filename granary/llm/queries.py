@@ -36,6 +36,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER).drop("digest")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard
+
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import leaks
+
+    return leaks.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
@@ -48,5 +60,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_token_counts, op8_quality, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_token_counts, op7_ngram_jaccard, op8_quality, op9_decontamination, op10_sharding)}
 SQL: dict[str, str] = {}
