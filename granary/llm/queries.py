@@ -36,6 +36,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER).drop("digest")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import passages
 
@@ -66,5 +72,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_token_counts, op6_passages, op7_ngram_jaccard, op8_quality, op9_decontamination, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_token_counts, op4_language, op6_passages, op7_ngram_jaccard, op8_quality, op9_decontamination, op10_sharding)}
 SQL: dict[str, str] = {}
