@@ -42,6 +42,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lm
+
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import passages
 
@@ -72,5 +78,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_token_counts, op4_language, op6_passages, op7_ngram_jaccard, op8_quality, op9_decontamination, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_token_counts, op4_language, op5_lm_score, op6_passages, op7_ngram_jaccard, op8_quality, op9_decontamination, op10_sharding)}
 SQL: dict[str, str] = {}
