@@ -156,5 +156,5 @@ def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2,
     ends = pairs.join(parts, "first_id").select("doc_id", "first_id", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"))
     firsts = ends.select(F.col("first_id").alias("doc_id"), "first_id", "part").distinct().withColumn("is_first", F.lit(True))
     wanted = scratch.put(ends.withColumn("is_first", F.lit(False)).unionByName(firsts))
-    found = docs.join(wanted, "doc_id").where("text is not null").groupBy("first_id", "part").applyInArrow(_verify, FOUND)
+    found = docs.join(wanted.hint("merge"), "doc_id").where("text is not null").groupBy("first_id", "part").applyInArrow(_verify, FOUND)
     return found.groupBy(*[x.split()[0] for x in FOUND.split(", ")[:6]]).agg(F.max("similarity").alias("similarity"))
