@@ -178,7 +178,7 @@ def link(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     groups = members.groupBy("gid").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
     blocks = F.ceil(F.col("g") / BLOCK).cast("int")
     members = scratch.put(members.join(groups, "gid").select("rep", "size", "gid", blocks.alias("nb"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("blk")))
-    texts = docs.join(members, docs["doc_id"] == members["rep"]).select("rep", "size", "gid", "blk", "text", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
+    texts = docs.join(members.hint("merge"), docs["doc_id"] == members["rep"]).select("rep", "size", "gid", "blk", "text", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
     pairs = texts.select("rep", "size", "gid", "blk", "text", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"))
     links = scratch.put(pairs.groupBy("gid", "bi", "bj").applyInArrow(_linked, "a long, b long, degree long"))
     scratch.free_shuffles()
@@ -195,7 +195,7 @@ def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     found = scratch.put(link(docs, scratch).select("doc_id", "component_id"))
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.max(F.col("doc_id") > F.col("component_id")).alias("drop")).where("doc_id is not null")
-    kept = docs.join(again.where("drop").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(again.where("drop").select("doc_id").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     if again.where("k > 1").isEmpty():
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
