@@ -16,6 +16,9 @@ reported. Other columns are ignored (find) or kept (clean).
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,19 +43,19 @@ def _triples(w):
 
 def edits(item, run) -> tuple[int, int, int]:
     """Least word edits that turn the item into a part of run, and that part's bounds."""
-    import numpy as np
-
     m = len(run)
-    row, start = np.zeros(m + 1, np.int64), np.arange(m + 1)
     pos = np.arange(m + 1)
+    row, start = np.zeros(m + 1, np.int64), pos.copy()
+    best, src = np.empty(m + 1, np.int64), np.zeros(m + 1, np.int64)
     for i, x in enumerate(item, 1):
         sub, up = row[:-1] + (run != x), row[1:] + 1
-        best = np.r_[i, np.minimum(sub, up)]
-        src = np.r_[0, np.where(sub <= up, start[:-1], start[1:])]
-        key = (best - pos) * (m + 2) * 4 + 0
-        low = np.minimum.accumulate(key)
-        at = np.maximum.accumulate(np.where(key == low, pos, 0))
-        row, start = best[at] + pos - at, src[at]
+        diagonal = sub <= up
+        best[0] = i
+        best[1:] = np.where(diagonal, sub, up)
+        src[1:] = np.where(diagonal, start[:-1], start[1:])
+        key = best - pos  # words of the run may be passed over: the least best[k] + j - k for k <= j
+        at = np.maximum.accumulate(np.where(key == np.minimum.accumulate(key), pos, 0))
+        row, start = key[at] + pos, src[at]
     end = int(np.argmin(row))
     return int(row[end]), int(start[end]), end
 
@@ -61,8 +64,6 @@ class Index:
     """Items, their triples, and the buckets of their sampled walks."""
 
     def __init__(self, items: list[tuple[int, bytes]], repeats: int, bits: int, seed: int = 11):
-        import numpy as np
-
         self.ids = [i for i, _ in items]
         self.words = [words_of(t) for _, t in items]
         use = [k for k, w in enumerate(self.words) if len(w) >= 3]
@@ -78,33 +79,35 @@ class Index:
         self.n = np.array([len(w) for w in self.words])
         self.least = np.array([max(1, n - 2 - 3 * allowed(n)) for n in self.n])
         self.samples: dict = {}
-        self.codes = [self.walk(w[None, :])[0] if len(w) >= 3 else None for w in self.words]
+        self.codes: list = [None] * len(self.words)
+        for n in sorted({len(self.words[k]) for k in use}):
+            same = [k for k in use if len(self.words[k]) == n]
+            for k, code in zip(same, self.walk(np.stack([self.words[k] for k in same]))):
+                self.codes[k] = code
 
     def walk(self, x):
         """(windows, repeats) sampled codes of equally long windows."""
-        import numpy as np
-
         c, n = x.shape
-        x = np.concatenate([x, np.zeros((c, 1), np.uint64)], 1)
+        if n not in self.samples:
+            g = np.random.default_rng([self.seed, n])
+            hit = np.zeros((3 * n, self.repeats), bool)
+            for r in range(self.repeats):
+                hit[g.choice(3 * n, self.bits, replace=False), r] = True
+            self.samples[n] = (hit, hit.any(1), g.integers(1, 1 << 63, (3 * n, self.repeats), dtype=np.uint64) | np.uint64(1))
+        hit, some, odd = self.samples[n]
+        flat = np.concatenate([x, np.zeros((c, 1), np.uint64)], 1).ravel()
+        first = (np.arange(c) * (n + 1))[:, None]
+        at, last = np.repeat(first, self.repeats, 1), first + n
         out = np.zeros((c, self.repeats), np.uint64)
-        rows = np.arange(c)
-        for r in range(self.repeats):
-            if (n, r) not in self.samples:
-                g = np.random.default_rng([self.seed, n, r])
-                self.samples[n, r] = (np.sort(g.choice(3 * n, self.bits, replace=False)), g.integers(1, 1 << 63, 3 * n, dtype=np.uint64) | np.uint64(1))
-            sample, odd = self.samples[n, r]
-            at, wanted = np.zeros(c, np.int64), set(sample.tolist())
-            for j in range(int(sample[-1]) + 1):
-                word = x[rows, at]
-                if j in wanted:
-                    out[:, r] = mix(out[:, r] * np.uint64(31) + word + np.uint64(j))
-                at = np.minimum(at + ((word * odd[j]) >> np.uint64(63)).astype(np.int64), n)
+        for j in range(int(np.flatnonzero(some)[-1]) + 1):
+            word = flat[at]
+            if some[j]:
+                out = np.where(hit[j], mix(out * np.uint64(31) + word + np.uint64(j)), out)
+            at = np.minimum(at + ((word * odd[j]) >> np.uint64(63)).astype(np.int64), last)
         return out
 
     def find(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(item, start, end, distance): the best run of each item within its allowed edits."""
-        import numpy as np
-
         w = words_of(text)
         if len(w) < 3 or not len(self.h):
             return []
@@ -130,9 +133,10 @@ class Index:
             body = np.where(starts[:, None] + np.arange(n) < len(w), w[windows], np.uint64(0))
             meets = (self.walk(body) == self.codes[i]).any(1)
             best = None
-            for s in starts[meets].tolist():
-                a = max(0, s - slack)
-                dist, x, y = edits(self.words[i], w[a : s + n + slack])
+            met = starts[meets]
+            for same in np.split(met, np.flatnonzero(np.diff(met) > slack) + 1) if len(met) else []:  # neighbours are checked as one run
+                a = max(0, int(same[0]) - slack)
+                dist, x, y = edits(self.words[i], w[a : int(same[-1]) + n + slack])
                 if dist <= slack and (best is None or dist < best[3]):
                     best = (self.ids[i], a + x, a + y, dist)
             if best:
@@ -153,15 +157,18 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
     yield block
 
 
+_indexes: dict = {}  # of this Python worker; the last one
+
+
 def _finder(spark, items, repeats, bits):
-    """The index is built in each Python worker from the sent items."""
-    sent = spark.sparkContext.broadcast(items)
-    cache: dict = {}
+    """The index is built once in each Python worker from the sent items."""
+    sent, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def get() -> Index:
-        if "index" not in cache:
-            cache["index"] = Index(sent.value, repeats, bits)
-        return cache["index"]
+        if key not in _indexes:
+            _indexes.clear()
+            _indexes[key] = Index(sent.value, repeats, bits)
+        return _indexes[key]
 
     return get
 
