@@ -2,7 +2,8 @@
 
 The points are distinct texts (an unsigned CRC-32 and a size in bytes), so equal texts always share a shard; a text whose
 copies weigh much is set on the near side of a cut as a whole. Medians are exact: byte sums over the upper, then
-the lower 16 bits of a coordinate, so a cut needs two histograms of at most 65,536 rows, whatever the number of documents.
+the lower 16 bits of a coordinate, so a cut needs two histograms of at most 65,536 rows (or a row per distinct size), whatever the
+number of documents.
 Law `bytes`: the shards' sizes are near equal.
 
 Null text: no bytes, size 1, CRC-32 of the empty text (0). Null doc_id: kept, ordered first. Empty table: no rows. Repeated
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 DIMS = ("text_crc32", "size")
+#: What is cut: a size with the upper half of the CRC behind it, so that many texts of one size can still be divided.
+CUT = {"text_crc32": "text_crc32", "size": "shiftleft(size, 16) + shiftright(text_crc32, 16)"}
 
 
 def points(docs: DataFrame) -> DataFrame:
@@ -75,8 +78,8 @@ def tree(atoms: DataFrame, shards: int, heavy_at: int = 32) -> Column:
             dim[k] = max(DIMS, key=width) if r else DIMS[0]
             share[k] = min(1.0, max(0.0, (left - on_left) / light_b)) if light_b else 0.5
         case = lambda f: F.coalesce(*[F.when(F.col("node") == k, f(k)) for k in split])
-        cuts = _medians(own, F.col("node"), case(lambda k: F.col(dim[k])), case(lambda k: F.lit(share[k])))
-        parts = [F.when(node == k, F.when(F.col(dim[k]) <= F.lit(cuts.get(k, 0)), 2 * k).otherwise(2 * k + 1)) for k in split]
+        cuts = _medians(own, F.col("node"), case(lambda k: F.expr(CUT[dim[k]])), case(lambda k: F.lit(share[k])))
+        parts = [F.when(node == k, F.when(F.expr(CUT[dim[k]]) <= F.lit(cuts.get(k, 0)), 2 * k).otherwise(2 * k + 1)) for k in split]
         node = F.coalesce(*parts, node)
         for k, (at, n) in split.items():
             del leaves[k]
