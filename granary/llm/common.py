@@ -53,6 +53,21 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
 
+def own(df: DataFrame) -> list:
+    """The columns of df, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def map_whole(df: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow over all columns of df; they travel under plain names, as Spark resolves a dot in a name as a field."""
+    names = df.columns
+
+    def renamed(batches):
+        yield from run(b.rename_columns(names) for b in batches)
+
+    return df.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(renamed, schema)
+
+
 def slices(batches, columns: list[str], most: int = 4 << 20):
     """Splits Arrow batches so that a slice holds about `most` bytes of text, or one document."""
     for batch in batches:

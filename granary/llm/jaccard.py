@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, mix, raw, shingle_hashes, slices, word_hashes
+from .common import Scratch, components, mix, own, raw, shingle_hashes, slices, word_hashes
 
 SMALL = 64  # shingles of a set that has a segment for each
 EQUAL, NEED = 24, 3
@@ -195,7 +195,7 @@ def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
     found = scratch.put(link(docs, scratch).select("doc_id", "component_id"))
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.max(F.col("doc_id") > F.col("component_id")).alias("drop")).where("doc_id is not null")
-    kept = docs.join(again.where("drop").select("doc_id").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(again.where("drop").select("doc_id").hint("merge"), "doc_id", "left_anti").select(*own(docs))
     if again.where("k > 1").isEmpty():
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))

@@ -10,7 +10,7 @@ the exact edit distance.
 The item index is sent to the tasks in blocks of at most `block_bytes` of item text; a larger benchmark takes several passes. The
 documents are only mapped: no shuffle, so hot sources and copies cost nothing extra.
 
-Null text: no match. Null or wordless items: none. Null doc_id: kept as null. Empty tables: no rows. Items that repeat: each
+Null text: no match. Null or wordless items, and items of under three words (no triple): none. Null doc_id: kept as null. Empty tables: no rows. Items that repeat: each
 reported. Other columns are ignored (find) or kept (clean).
 """
 
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _MIX, mix, raw, slices, word_hashes
+from .common import _MIX, map_whole, mix, raw, slices, word_hashes
 
 FOUND = "doc_id long, item_id long, start_word int, end_word int, distance int"
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -205,5 +205,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, repeats: int = 24, bits: int =
             for part in slices(batches, ["text"]):
                 yield part.filter(pa.array([not index.find(t) for t in raw(part.column("text"))], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_whole(docs, run, docs.schema)
     return docs

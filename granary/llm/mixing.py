@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, own
 
 DIMS = ("source", "lang", "topic")
 
@@ -122,4 +122,4 @@ def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha:
     p = F.broadcast(p) if p.count() <= 50_000 else p
     some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
     on = (some("source") == F.col("_granary_source")) & (some("lang") == F.col("_granary_lang")) & (topic_of(text) == F.col("_granary_topic"))
-    return docs.join(p, on).where(uniform() < F.col("_granary_p")).select(*docs.columns)
+    return docs.join(p, on).where(uniform() < F.col("_granary_p")).select(*own(docs))

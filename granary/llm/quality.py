@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Scratch, raw, slices
+from .common import Scratch, map_whole, own, raw, slices
 
 COUNTS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_letters long, n_lines long"
 RATIOS = {
@@ -124,14 +125,14 @@ def keep(docs: DataFrame, spread: float = 6.0, least: int = 200) -> DataFrame:
     small = limits.count() <= 20_000
     names = [f"_granary_{x.split()[0]}" for x in COUNTS.split(", ")[3:]]
     limits = limits.withColumnsRenamed({c: f"_granary_{c}" for c in limits.columns})
-    x = docs.mapInArrow(_beside(docs.columns), ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{n} long" for n in names]))
+    x = map_whole(docs, _beside(docs.columns), T.StructType([*docs.schema, *(T.StructField(n, T.LongType()) for n in names)]))
     lang, source = F.col("lang").cast("string"), F.col("source").cast("string")
     y = x.join(F.broadcast(limits) if small else limits, lang.eqNullSafe(F.col("_granary_lang")) & source.eqNullSafe(F.col("_granary_source")), "left")
     inside = (F.col("_granary_n_words") >= 50) & (100 * F.col("_granary_n_repeat_words") <= 50 * F.col("_granary_n_words"))
     for k, v in RATIOS.items():
         ratio = F.expr(v.replace("n_", "_granary_n_").replace("word_chars", "_granary_word_chars"))
         inside &= ratio <= F.coalesce(F.col(f"_granary_fence_{k}"), F.lit(FLOOR[k]))
-    return y.where(inside).select(*docs.columns)
+    return y.where(inside).select(*own(docs))
 
 
 def _beside(columns: list[str]):

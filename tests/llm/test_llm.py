@@ -237,6 +237,16 @@ def test_lm(docs, nothing):
     assert lm.score(nothing).count() == 0
 
 
+def test_pipeline_stages_keep_any_column(spark):
+    names = ["a.b", "c`d", "doc_root", "root", "node", "rep", "key", "topic", "p", "drop", "bytes"]
+    docs = spark.createDataFrame(ROWS[4:14], SCHEMA)
+    docs = docs.select("*", *(F.lit(n).alias(n) for n in names), F.struct(F.lit(1).alias("x.y"), F.array(F.lit(None).cast("string")).alias("z")).alias("deep"))
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    for out in (quality.keep(docs), jaccard.one_of_each(docs), leaks.clean(docs, bench), mixing.sample(docs, fraction=1.0)):
+        assert out.columns == docs.columns and out.count() > 0 and all(r["a.b"] == "a.b" and r["deep"]["x.y"] == 1 for r in out.collect())
+    assert shards.shard(docs, shards=2).count() == 10
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
