@@ -4,13 +4,16 @@ Tokens are five-word shingles. Under each of `hashes` min-hash functions, a text
 compact windows (l, c, r): all [i, j] with l <= i <= c <= j <= r have their minimum at c. The windows are the nodes of
 the Cartesian tree over the hashes, cut where a node is shorter than a passage; nodes that are long enough are the minima of
 sliding windows, so the tree is built over those alone. Windows of different documents that share a minimum meet; in a
-group of any size each document is paired with the first one only. Pairs that meet under at least `need` functions with
-overlapping windows are verified on the texts: runs of common shingles, bridged over a few edits, of at least `words` words with a
+group of any size each document is paired with the first one only, if they meet under at least `need` functions with overlapping
+windows. As that first one may hold a mere variant, all runs of `words` words whose minimum (under the first function)
+another document shares are classed by their exact content, and each document is paired with the first one of its class as well.
+Pairs are verified on the texts: runs of common shingles, bridged over a few edits, of at least `words` words with a
 Jaccard similarity of 0.8 or more.
 
 The result has a row per passage of a document that repeats in another: its words [start_word, end_word), the first document that
 holds it and where, and their similarity; the first document's own passage is a row too. Exact repeats of `words` words or more
-are always found; a near repeat of one passage's length at similarity 0.8 with probability 0.97.
+are always compared with the first document that holds them; a near repeat of one passage's length at similarity 0.8 with
+probability 0.97, or less if earlier documents hold variants of it that are too far from both.
 
 Null or short texts: no rows. Null doc_id: left out. Repeated rows of one doc_id: as one. Empty table: no rows. Other columns
 are ignored.
@@ -75,6 +78,38 @@ def _windows(least: int, hashes: int):
     return run
 
 
+def _classes(least: int):
+    """The content of each run of `least` shingles in the windows `at`, by prefix sums of a polynomial hash."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        none = np.zeros(0, np.int64)
+        base = 0x9E3779B97F4A7C15
+        for part in slices(batches, ["text"]):
+            content, ids = [none], [none]
+            for i, text, at in zip(part.column("doc_id").to_pylist(), raw(part.column("text")), part.column("at")):
+                h = shingles(text)
+                n = len(h) - least + 1
+                if n < 1:
+                    continue
+                pos = at.values.to_numpy()
+                c = (pos >> 32) & ((1 << 28) - 1)
+                low = np.maximum(c - np.minimum((pos >> 16) & 65535, least - 1), 0)
+                high = np.minimum(c, c + (pos & 65535) - least + 1)
+                edge = np.bincount(np.minimum(low, n), minlength=n + 1) - np.bincount(np.minimum(high + 1, n), minlength=n + 1)
+                start = np.flatnonzero(np.cumsum(edge[:n]) > 0)
+                up = np.cumprod(np.full(len(h), base, np.uint64))
+                down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
+                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up)])
+                content.append(((total[start + least] - total[start]) * down[start]).view(np.int64))
+                ids.append(np.full(len(start), i, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(content)), pa.array(np.concatenate(ids))], names=["content", "doc_id"])
+
+    return run
+
+
 def _runs(own, other, bridge: int = 12):
     """Passages of `own` that repeat in `other`: (start, end, other_start, other_end, similarity) in shingles, ends inclusive."""
     import numpy as np
@@ -86,14 +121,13 @@ def _runs(own, other, bridge: int = 12):
     if not len(hit):
         return []
     # of several places in the other text take the one on the last hit's diagonal, if any
-    place = np.empty(len(hit), np.int64)
-    last = None
+    place = order[found[hit]]
     many = np.searchsorted(other[order], own[hit], "right") - found[hit]
-    for n, (p, f, m) in enumerate(zip(hit.tolist(), found[hit].tolist(), many.tolist())):
-        spots = order[f : f + m]
-        near = 0 if last is None else int(np.argmin(np.abs(spots - p - last)))
-        place[n] = spots[near]
-        last = int(spots[near]) - p
+    for n in np.flatnonzero(many > 1).tolist():
+        if n:
+            p, f = int(hit[n]), int(found[hit[n]])
+            spots = order[f : f + int(many[n])]
+            place[n] = spots[int(np.argmin(np.abs(spots - p - (place[n - 1] - hit[n - 1]))))]
     diag = place - hit
 
     def passages(most: int):
@@ -144,13 +178,19 @@ def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     w = docs.mapInArrow(_windows(words - WORDS + 1, hashes), "sig long, doc_id long, pos long")
     by = Window.partitionBy("sig")
-    met = w.select("doc_id", "pos", F.min(F.struct("doc_id", "pos")).over(by).alias("first")).where("doc_id > first.doc_id")
+    shared = scratch.put(w.select("doc_id", "pos", F.min(F.struct("doc_id", "pos")).over(by).alias("first"), F.max("doc_id").over(by).alias("last")).where("last > first.doc_id").drop("last"))
+    scratch.free_shuffles()
+    met = shared.where("doc_id > first.doc_id")
     # interval join: the windows, laid on one another by their minima, overlap for a passage's length
     left = F.least(F.shiftright("pos", 16).bitwiseAND(65535), F.shiftright("first.pos", 16).bitwiseAND(65535))
     right = F.least(F.col("pos").bitwiseAND(65535), F.col("first.pos").bitwiseAND(65535))
     kind = F.expr("shiftleft(1, cast(shiftright(pos, 60) as int))")
     pairs = met.where(left + right + 1 >= words - WORDS + 1).groupBy("doc_id", F.col("first.doc_id").alias("first_id")).agg(F.bit_or(kind).alias("kinds")).where(F.bit_count("kinds") >= need)
-    pairs = scratch.put(pairs.select("doc_id", "first_id"))
+    # classes of equal runs: whatever the first document under a minimum holds, equal runs meet
+    at = shared.where(F.shiftright("pos", 60) == 0).groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    runs = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_classes(words - WORDS + 1), "content long, doc_id long")
+    equal = runs.select("doc_id", F.min("doc_id").over(Window.partitionBy("content")).alias("first_id")).where("doc_id > first_id")
+    pairs = scratch.put(pairs.select("doc_id", "first_id").unionByName(equal).distinct())
     scratch.free_shuffles()
     parts = pairs.groupBy("first_id").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
     ends = pairs.join(parts, "first_id").select("doc_id", "first_id", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"))

@@ -141,6 +141,28 @@ def test_passages(docs, nothing):
     assert {g[0] for g in got} <= {5, 6, 7, 8, 9, 10, 11} and passages.repeats(nothing).count() == 0
 
 
+def test_passages_variants(spark):
+    r = random.Random(11)
+    texts = {}
+    for family in range(12):
+        whole, base = [r.choice(WORDS) for _ in range(60)], 10 * family
+        around = lambda w: " ".join([r.choice(WORDS) for _ in range(r.randint(50, 75))] + w + [r.choice(WORDS) for _ in range(r.randint(50, 75))])
+        for k in range(4):  # earlier documents without an exact run of 50 words
+            w = list(whole)
+            w[20 + k] = w[41 + k] = "other"
+            texts[base + k] = around(w if k else whole[:48])
+        texts[base + 4], texts[base + 5] = around(whole), around(whole)
+    words = {i: t.split() for i, t in texts.items()}
+    first = {}  # brute force: the first document of every run of 50 words
+    for i, w in sorted(words.items()):
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    want = [(i, k, first[tuple(w[k : k + 50])]) for i, w in words.items() for k in range(len(w) - 49) if first[tuple(w[k : k + 50])] != i]
+    got = passages.repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    missed = [x for x in want if not any(g["doc_id"] == x[0] and g["first_doc_id"] == x[2] and g["start_word"] <= x[1] and x[1] + 50 <= g["end_word"] for g in got)]
+    assert len(want) >= 12 * 11 and not missed
+
+
 def test_windows_against_plain():
     import numpy as np
 
