@@ -31,8 +31,8 @@ LOOSE = {
     "iban": ("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}+(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"),
     "ssn": ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
-#: A text without any of these has no loose candidate.
-HINT = r"(?i)[0-9]{2}|[\[({]at[\])}]"
+#: A text without any of these has no loose candidate: each rule's matches hold one (two digits: the numbers, iban and ssn).
+HINT = r"(?i)[0-9]{2}|[\[({]at[\])}]|(?<![a-z0-9_])[a-z0-9_]{20}|[0-9a-f](?::[0-9a-f]{1,4}){7}"
 ORDER = ["email", "ip", "card", "phone", "secret", "iban", "ssn"]
 BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CONTEXT = {

@@ -1,6 +1,7 @@
 """Operators against plain versions, on planted cases and on awkward input."""
 
 import random
+import re
 
 import plain
 import pytest
@@ -52,6 +53,22 @@ def test_pii(docs, nothing):
     assert pii.detect(nothing).count() == 0
 
 
+def test_pii_few_digits(spark):
+    key, six = "qWx7RtYb" + "ZkL4mNpVcDs9" + "fGhJeKuAoXi2TbQw", "fe8a:b2cd:c3ef:d4ab:ae5f:bf6c:ca7d:db8e"
+    assert len(key) == 36
+    texts = [f'token = "{key}" here', f"at {six} now", "a:b:c:d:1:2:3:4", "_" * 3 + "a" * 17, "x@y.zz plain words"]
+    assert not any(re.search("[0-9]{2}|[(]at[)]", t) for t in texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(pii.detect(df).select("doc_id", pii.digest(F.col("spans")).alias("spans")))
+    assert got[0]["spans"] == f"secret:9:{9 + len(key)}" and got[1]["spans"] == f"ip:3:{3 + len(six)}" and got[4]["spans"] == "email:0:6"
+    # no candidate of any rule, also on random text, is in a text that the hint leaves out
+    r = random.Random(12)
+    texts += ["".join(r.choice(["a", "F", "_", ":", "1", "-", "(at)", "a:b:c:d:1", ":2:3:4", "Q" * 9, " ", ".", "é"]) for _ in range(r.randint(1, 12))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = df.select(F.size(pii.candidates(F.col("text"))).alias("n"), F.col("text").rlike(pii.HINT).alias("hint")).collect()
+    assert all(x["hint"] for x in rows if x["n"]) and sum(x["n"] > 0 for x in rows) > 20 and not all(x["hint"] for x in rows)
+
+
 def test_pii_adversarial(spark):
     r = random.Random(9)
     texts = ["".join(r.choice("ab1290.@+- ()é_%") for _ in range(r.randint(0, 60))) for _ in range(400)] + ["a" * 20000, "1." * 9000, "+1" * 5000, "a@" + "b." * 4000 + "c", "1 " * 9000]
