@@ -2,8 +2,9 @@
 
 Each document gets counts from one pass over its whole text. The method then summarises four ratios per
 (lang, source) in mergeable quantile sketches (relative-error log buckets: two sketches merge by adding counts), takes a
-fence median + spread * (q75 - median) per group, and joins the fences back to the documents. Groups of fewer than
-`least` documents use the sketch of their language, merged from those of its sources, and small languages that of all.
+fence median + spread * (q90 - median) per group, and joins the fences back to the documents. Groups of fewer than
+`least` documents use the sketch of their language, merged from those of its sources, and small languages that of all. No
+fence is above `LOOSE` times that of all documents, so a group that is largely of bad documents does not excuse them.
 
 Null text: no words. Null lang or source: a group of its own. Empty table: no rows. Repeated rows: judged alike, each
 returned. Very long texts: counted whole. Other columns of the input are ignored.
@@ -24,8 +25,9 @@ RATIOS = {
     "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
     "repeats": "n_repeat_words / greatest(n_words, 1)",
 }
-#: A group's fence is never below this, so that evenly clean groups lose nothing.
-FLOOR = {"symbols": 0.06, "upper": 0.5, "dup_lines": 0.5, "repeats": 0.4}
+#: A fence is never below this, so that a single mark, line or phrase in evenly clean groups loses nothing.
+FLOOR = {"symbols": 0.01, "upper": 0.05, "dup_lines": 0.1, "repeats": 0.05}
+LOOSE = 4.0
 GAMMA = 1.02  # relative error of a quantile: about 1 %
 
 
@@ -81,24 +83,25 @@ def sketch(counts: DataFrame) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """n, q50 and q75 per key and ratio from merged sketches."""
+    """n, q50 and q90 per key and ratio from merged sketches."""
     merged = sketches.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, "ratio")
     cum = merged.select(*keys, "ratio", "bucket", "n", F.sum("n").over(by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("cum"), F.sum("n").over(by).alias("total"))
     value = F.when(F.col("bucket") < 0, 0.0).otherwise(1e-6 * F.pow(F.lit(GAMMA), F.col("bucket") - 0.5))
     at = lambda q: F.min(F.when(F.col("cum") >= q * F.col("total"), value))
-    return cum.groupBy(*keys, "ratio").agg(F.max("total").alias("n"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+    return cum.groupBy(*keys, "ratio").agg(F.max("total").alias("n"), at(0.5).alias("q50"), at(0.9).alias("q90"))
 
 
 def fences(sketches: DataFrame, spread: float = 6.0, least: int = 200) -> DataFrame:
     """A row per (lang, source) with a fence for every ratio."""
     own = quantiles(sketches, ["lang", "source"])
-    lang = quantiles(sketches, ["lang"]).select(F.col("lang").alias("l"), F.col("ratio").alias("r"), F.col("n").alias("ln"), F.col("q50").alias("l50"), F.col("q75").alias("l75"))
-    every = quantiles(sketches, []).select(F.col("ratio").alias("e"), F.col("q50").alias("e50"), F.col("q75").alias("e75"))
+    lang = quantiles(sketches, ["lang"]).select(F.col("lang").alias("l"), F.col("ratio").alias("r"), F.col("n").alias("ln"), F.col("q50").alias("l50"), F.col("q90").alias("l90"))
+    every = quantiles(sketches, []).select(F.col("ratio").alias("e"), F.col("q50").alias("e50"), F.col("q90").alias("e90"))
     x = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("ratio") == F.col("r"))).join(F.broadcast(every), F.col("ratio") == F.col("e"))  # four rows
     pick = lambda q: F.when(F.col("n") >= least, F.col(f"q{q}")).when(F.col("ln") >= least, F.col(f"l{q}")).otherwise(F.col(f"e{q}"))
     floor = F.create_map(*(F.lit(y) for kv in FLOOR.items() for y in kv))
-    fence = F.greatest(pick(50) + spread * (pick(75) - pick(50)), floor[F.col("ratio")])
+    above = lambda low, high: F.greatest(low + spread * (high - low), floor[F.col("ratio")])
+    fence = F.least(above(pick(50), pick(90)), LOOSE * above(F.col("e50"), F.col("e90")), F.lit(1.0))
     return x.groupBy("lang", "source").agg(*(F.max(F.when(F.col("ratio") == k, fence)).alias(f"fence_{k}") for k in RATIOS))
 
 

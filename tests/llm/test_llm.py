@@ -92,6 +92,22 @@ def test_quality(docs, nothing):
     assert quality.judge(nothing).count() == 0 and quality.keep(nothing).count() == 0
 
 
+def test_quality_fences_adapt(spark):
+    # per source 400 documents of 1000 characters and 100 lines: clean ones, ones with 50 to 89 symbols each, and clean ones with 160 spoilt
+    i, source = F.col("id") % 400, F.element_at(F.array(*map(F.lit, ("clean", "marked", "spoilt", *(f"more{k}" for k in range(17))))), (F.col("id") / 400).cast("int") + 1)
+
+    def limits(marked):
+        n = F.when(source == "marked", 50 + i % 40).when((source == "spoilt") & (i < 160), 350).otherwise(F.lit(0 if not marked else 20) * (i < 80).cast("int"))
+        x = spark.range(8000).select(F.lit("en").alias("lang"), source.alias("source"), F.lit(200).alias("n_words"), F.lit(1000).alias("word_chars"), n.alias("n_symbols"), F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words"), F.lit(20).alias("n_upper"), F.lit(1000).alias("n_letters"), F.lit(100).alias("n_lines"))
+        return {r["source"]: r for r in quality.fences(quality.sketch(x)).collect()}
+
+    got = limits(True)
+    assert got["marked"]["fence_symbols"] > 0.089 > 0.06  # looser than a fixed 0.06: none of its own documents fails
+    assert limits(False)["clean"]["fence_symbols"] < 0.05 and got["clean"]["fence_dup_lines"] < 0.3 < 0.5  # tighter
+    assert limits(False)["spoilt"]["fence_symbols"] < 0.35  # a group of two fifths bad documents still loses them
+    assert all(0 < r[f"fence_{k}"] <= 1 for r in got.values() for k in quality.RATIOS)
+
+
 def test_quantiles_merge(docs):
     whole = quality.sketch(quality.measure(docs))
     parts = quality.sketch(quality.measure(docs.where("doc_id % 2 = 0"))).unionByName(quality.sketch(quality.measure(docs.where("doc_id % 2 = 1 or doc_id is null"))))
