@@ -16,9 +16,11 @@ SIMILAR = (80, 100)  # a link: 100 * intersection >= 80 * union
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see; one of our own only where none is set (local runs)."""
+    """The folder that all executors see; one of our own only in local mode where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.gettempdir()}/granary-shared"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -5,8 +5,9 @@ characters and, for frequent words, its lexicon entry. Learned transitions tie n
 label where the words do; forward-backward gives each word's marginals. A document's score for a language is the mean of its
 words' marginals, and its language the best one.
 
-Training: at most `sample` labelled documents per language (the documented bound), chosen by a hash of the row; their words
-in stretches of up to 32, some of them spliced from two languages; the conditional likelihood is raised by Adagrad on the driver.
+Training: of every lang value at most `sample` labelled documents, and at most `stretches` runs of up to 32 of their words (the
+documented bounds), chosen by hashes; a value with less is learned from all that it has. Some runs are spliced from two
+languages; the conditional likelihood is raised by Adagrad on the driver.
 Chains in use are stretches of 64 words of one text.
 
 Null or letterless text: `und`, score 0. No labelled row at all: every text is `und`. Null lang: not learned from. Null
@@ -19,7 +20,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mix, slices
@@ -129,31 +130,49 @@ def crc(n: int):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")), F.lit(n)), F.lit(-1))
 
 
-def train(docs: DataFrame, sample: int = 300, most_labels: int = 500, lexicon: int = 3000, seed: int = 5) -> Field | None:
-    """docs: doc_id, text, lang; all rows may be learned from."""
+def _stretches(batches):
+    """lang, h (a hash of the stretch and where it is from) and the words of each stretch of 32."""
+    import pyarrow as pa
+    from xxhash import xxh3_64_intdigest
+
+    for part in slices(batches, ["text"]):
+        rows = []
+        for i, lang, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "lang", "text"))):
+            w = WORD.findall(text.lower())
+            for k in range(0, len(w), 32):
+                piece = " ".join(w[k : k + 32])
+                rows.append((lang, xxh3_64_intdigest(f"{i} {k} {piece}".encode()) - (1 << 63), piece))
+        cols = list(zip(*rows)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string()))], names=["lang", "h", "piece"])
+
+
+def train(docs: DataFrame, sample: int = 300, stretches: int = 3000, lexicon: int = 3000, seed: int = 5) -> Field | None:
+    """docs: doc_id, text, lang; all rows may be learned from. The bounded sample: per lang value at most `sample` documents, and of
+    their stretches of 32 words at most `stretches`, each chosen by its hash; every value is learned, with all that it has if
+    it has less. The model takes half a megabyte a value."""
     known = docs.where("lang is not null and text is not null")
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count")).limit(most_labels).collect()}
-    if not sizes:
+    u = F.xxhash64("doc_id", "text")
+    rows = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    rough = F.pmod(u, F.lit(1 << 30)) / float(1 << 30) < F.lit(2.0 * sample + 50) / F.col("n")  # leaves few rows to rank, whatever the language's size
+    picked = known.join(F.broadcast(rows), "lang").where(rough).select("doc_id", "lang", "text", u.alias("u"))  # a row per lang value
+    few = Window.partitionBy("lang").orderBy("u", "doc_id")
+    picked = picked.withColumn("k", F.row_number().over(few)).where(F.col("k") <= sample)
+    pieces = picked.select("doc_id", "lang", "text").mapInArrow(_stretches, "lang string, h long, piece string")
+    some = Window.partitionBy("lang").orderBy("h", "piece")
+    rows = pieces.withColumn("k", F.row_number().over(some)).where(F.col("k") <= stretches).select("h", "lang", "piece").collect()
+    if not rows:
         return None
-    share = F.create_map(*(F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, sample / v))))
-    u = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    rows = known.where(u < share[F.col("lang")]).select("doc_id", "lang", "text").collect()
-    rows = sorted(rows, key=lambda r: (r[0] is None, r[0]))
-    labels = sorted(sizes)
-    g = np.random.default_rng(seed)
+    labels = sorted({r["lang"] for r in rows})
+    at = {x: i for i, x in enumerate(labels)}
     number: dict[str, int] = {}
     count: dict[str, int] = {}
     pieces = []
-    for r in rows:
-        w = WORD.findall(r[2].lower())
+    for r in sorted(rows):
+        w = r["piece"].split(" ")
         for x in w:
             count[x] = count.get(x, 0) + 1
-        ids = [number.setdefault(x, len(number)) for x in w]
-        y = labels.index(r[1])
-        pieces += [(ids[i : i + 32], y) for i in range(0, len(ids), 32)]
-    if not pieces:
-        return None
-    pieces = [pieces[i] for i in g.permutation(len(pieces))[:12_000]]
+        pieces.append(([number.setdefault(x, len(number)) for x in w], at[r["lang"]]))
+    g = np.random.default_rng(seed)
     chains, tags = [], []
     for k, (a, y) in enumerate(pieces):
         b, z = pieces[int(g.integers(len(pieces)))]
@@ -212,9 +231,9 @@ def _predict(sent, most: int = 250_000):
     return run
 
 
-def identify(docs: DataFrame, folds: int = 5, sample: int = 300) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 5, sample: int = 300, stretches: int = 3000) -> DataFrame:
     """FOUND for each row of docs, learned from the rows outside fold 0."""
     x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    field = train(x.where(crc(folds) > 0), sample)
+    field = train(x.where(crc(folds) > 0), sample, stretches)
     sent = docs.sparkSession.sparkContext.broadcast(field)
     return x.select("doc_id", "text", (crc(folds) == 0).alias("held_out")).mapInArrow(_predict(sent), FOUND)

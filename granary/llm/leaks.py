@@ -1,11 +1,12 @@
 """Benchmark decontamination: CGK random walks and bit-sampling over item-sized windows, then exact edit distances.
 
-A benchmark item of n words leaks into a document where a run of its words is within floor(0.2 n) word edits of the item. Such a
-run keeps at least n - 2 - 3 * edits of the item's word triples near one diagonal, so only windows with that many are embedded:
-nothing is lost by it. Each item-sized window and each item walk through their words as in the embedding of
-Chakraborty, Goldenberg and Koucky (step j repeats or passes the current word by a random bit of j and the word; length 3 n);
-each of `repeats` walks samples `bits` positions, and window and item meet where the samples agree. The pairs that meet are checked by
-the exact edit distance.
+A benchmark item of n words leaks into a document where a run of its words is within floor(0.2 n) word edits of the item. Each
+item-sized window and each item walk through their words as in the embedding of Chakraborty, Goldenberg and Koucky (step j
+repeats or passes the current word by a random bit of j and the word; length 3 n); each of `repeats` walks samples `bits`
+positions, and the sampled code is a bucket of that length and repeat. Windows are looked up in the buckets of all items; window
+and item meet in a bucket, and the pairs that meet are checked by the exact edit distance.
+A run within the edits keeps at least n - 2 - 3 * edits of an item's word triples, so a window of n words is embedded only if it
+holds that many triples of items of n words, whichever items: nothing is lost by it.
 
 The item index is sent to the tasks in blocks of at most `block_bytes` of item text; a larger benchmark takes several passes. The
 documents are only mapped: no shuffle, so hot sources and copies cost nothing extra.
@@ -61,29 +62,38 @@ def edits(item, run) -> tuple[int, int, int]:
 
 
 class Index:
-    """Items, their triples, and the buckets of their sampled walks."""
+    """The buckets of the items' sampled walks, and the triples of the items of each length."""
 
     def __init__(self, items: list[tuple[int, bytes]], repeats: int, bits: int, seed: int = 11):
         self.ids = [i for i, _ in items]
         self.words = [words_of(t) for _, t in items]
         use = [k for k, w in enumerate(self.words) if len(w) >= 3]
-        tri = [_triples(self.words[k]) for k in use]
-        h = np.concatenate([np.zeros(0, np.uint64), *tri])
-        order = np.argsort(h, kind="stable")
-        self.h = h[order]
-        self.item = np.concatenate([np.zeros(0, np.int64), *(np.full(len(t), k) for k, t in zip(use, tri))])[order]
-        self.at = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(t)) for t in tri)])[order]
-        self.filter = np.zeros(1 << 22, bool)
-        self.filter[(self.h >> np.uint64(42)).astype(np.int64)] = True
         self.repeats, self.bits, self.seed = repeats, bits, seed
-        self.n = np.array([len(w) for w in self.words])
-        self.least = np.array([max(1, n - 2 - 3 * allowed(n)) for n in self.n])
         self.samples: dict = {}
-        self.codes: list = [None] * len(self.words)
-        for n in sorted({len(self.words[k]) for k in use}):
-            same = [k for k in use if len(self.words[k]) == n]
-            for k, code in zip(same, self.walk(np.stack([self.words[k] for k in same]))):
-                self.codes[k] = code
+        n = np.array([len(self.words[k]) for k in use], np.int64)
+        # triples by the length of the item, not by item
+        h = np.concatenate([np.zeros(0, np.uint64), *(_triples(self.words[k]) for k in use)])
+        of = np.repeat(n, n - 2)
+        order = np.lexsort((of, h))
+        h, of = h[order], of[order]
+        first = np.r_[True, (h[1:] != h[:-1]) | (of[1:] != of[:-1])][: len(h)]
+        self.h, self.of = h[first], of[first]
+        self.filter = np.zeros(1 << 22, bool)
+        self.filter[(self.h >> np.uint64(42)).astype(np.int64)] = True
+        # buckets: key of (length, repeat, sampled code) -> items
+        keys, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for m in np.unique(n).tolist():
+            same = [k for k, x in zip(use, n.tolist()) if x == m]
+            keys.append(self.keys(np.stack([self.words[k] for k in same])).ravel())
+            owner.append(np.repeat(same, repeats))
+        keys, owner = np.concatenate(keys), np.concatenate(owner)
+        order = np.argsort(keys, kind="stable")
+        self.bucket, self.owner = keys[order], owner[order]
+
+    def keys(self, x):
+        """(windows, repeats) bucket keys of equally long windows."""
+        n = x.shape[1]
+        return mix(self.walk(x) + mix(np.arange(self.repeats, dtype=np.uint64) + np.uint64(n << 16)))
 
     def walk(self, x):
         """(windows, repeats) sampled codes of equally long windows."""
@@ -106,6 +116,32 @@ class Index:
             at = np.minimum(at + ((word * odd[j]) >> np.uint64(63)).astype(np.int64), last)
         return out
 
+    def met(self, w, hit, lengths) -> dict[int, list]:
+        """item -> starts of the windows that share a bucket with it. hit: positions of item triples, lengths: of their items."""
+        found: dict[int, list] = {}
+        most = np.bincount(lengths)
+        for n in np.flatnonzero(most).tolist():
+            slack = allowed(n)
+            least = max(1, n - 2 - 3 * slack)
+            if most[n] < least:
+                continue
+            at = np.zeros(len(w) + 1, np.int64)
+            at[hit[lengths == n] + 1] = 1
+            upto = np.cumsum(at)
+            start = np.arange(max(1, len(w) - n + slack + 1))
+            start = start[upto[np.minimum(start + n - 2, len(w))] - upto[start] >= least]
+            for part in np.array_split(start, -(-len(start) // 4096)) if len(start) else []:
+                place = part[:, None] + np.arange(n)
+                body = np.where(place < len(w), w[np.minimum(place, len(w) - 1)], np.uint64(0))
+                key = self.keys(body).ravel()
+                lo, hi = np.searchsorted(self.bucket, key, "left"), np.searchsorted(self.bucket, key, "right")
+                k = hi - lo
+                row = np.repeat(lo - (np.cumsum(k) - k), k) + np.arange(k.sum())
+                pairs = np.unique(np.stack([self.owner[row], np.repeat(np.repeat(part, self.repeats), k)], 1), axis=0)
+                for item, s in pairs.tolist():
+                    found.setdefault(item, []).append(s)
+        return found
+
     def find(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(item, start, end, distance): the best run of each item within its allowed edits."""
         w = words_of(text)
@@ -119,22 +155,12 @@ class Index:
         k = hi - lo
         if not k.any():
             return []
-        row = np.repeat(lo - np.r_[0, np.cumsum(k)[:-1]], k) + np.arange(k.sum())
-        item, diag = self.item[row], np.repeat(hit, k) - self.at[row]
+        row = np.repeat(lo - (np.cumsum(k) - k), k) + np.arange(k.sum())
         found = []
-        for i in np.flatnonzero(np.bincount(item, minlength=len(self.n)) >= self.least):
-            n, slack = int(self.n[i]), allowed(int(self.n[i]))
-            d = np.sort(diag[item == i])
-            near = np.searchsorted(d, d + slack, "right") - np.searchsorted(d, d - slack, "left")
-            starts = np.unique(np.clip(d[near >= self.least[i]], 0, max(0, len(w) - n)))
-            if not len(starts):
-                continue
-            windows = np.minimum(starts[:, None] + np.arange(n), len(w) - 1)
-            body = np.where(starts[:, None] + np.arange(n) < len(w), w[windows], np.uint64(0))
-            meets = (self.walk(body) == self.codes[i]).any(1)
-            best = None
-            met = starts[meets]
-            for same in np.split(met, np.flatnonzero(np.diff(met) > slack) + 1) if len(met) else []:  # neighbours are checked as one run
+        for i, starts in sorted(self.met(w, np.repeat(hit, k), self.of[row]).items()):
+            n, best = len(self.words[i]), None
+            slack, starts = allowed(n), np.array(starts)
+            for same in np.split(starts, np.flatnonzero(np.diff(starts) > slack) + 1):  # neighbours are checked as one run
                 a = max(0, int(same[0]) - slack)
                 dist, x, y = edits(self.words[i], w[a : int(same[-1]) + n + slack])
                 if dist <= slack and (best is None or dist < best[3]):

@@ -1,125 +1,190 @@
 """Mixing sources to target weights by iterative proportional fitting, in DataFrame functions only.
 
-Token weights are summed per cell (source, language, topic). Each sweep scales the cells to the three marginals in turn,
-until every marginal is within `tolerance` of its target. Targets default to tokens ** `alpha` (flatter than the
-corpus). A cell's sampling probability is its wanted tokens over its tokens, scaled so that the sample is expected to hold
-`fraction` of all tokens with no probability above 1; a document stays if the hash of its id, text and `seed` falls below.
-
-Only cells are shuffled after a map-side sum, so a hot source costs one row per task. Cells number sources x languages x
-topics; they are iterated as tables, never on the driver, which sees one convergence figure per sweep.
-
-Null text: no tokens, weight 1 for its cell, topic `empty`. Null source or language: a value of its own (`?`). Empty
-table: no rows. Repeated rows: sampled alike. Targets for absent values are ignored; values without one keep their share.
+Words are summed per cell (source, language, topic). A topic is an anchor word: the `anchors` words of five letters or more that most
+documents hold, of those that at most `widest` of all documents do, found by counting over the whole corpus; a document's topic is the
+anchor it holds most often, the rarer one of equals, or `other`. A caller's own topic column replaces this.
+
+Raking: a cell's probability is p = min(1, m_source * m_lang * m_topic), with a multiplier per value of each dimension. Each sweep scales
+the multipliers of one dimension after the other so that the sample's expected words meet its targets under the cap of 1, until
+every marginal is within `tolerance` of all wanted words; otherwise `NotConverged` tells the gap. Targets default to the marginals of
+the corpus flattened towards tokens ** `alpha` in every dimension, which one table of cells meets together; given ones are
+shares. The sample is expected to hold `fraction` of all words, or less if a given target cannot be had from what there
+is. A document stays if the hash of its id, text and `seed` falls below p: expected shares meet the targets, those of one
+sample differ by chance.
+
+Only words and cells are shuffled, after a map-side sum, so a hot source costs one row per task. Cells are iterated as tables, never on the
+driver, which sees one convergence figure per sweep and the anchors. Words are `[^\\x20\\x09-\\x0D]+`; a text in a script without
+spaces weighs as its blank-separated pieces.
+
+Null text: no words; the text weighs 1 for its cell, as any text without words. Null source or language: a value of its own (`?`).
+Empty table: no rows. Repeated rows: sampled alike. Targets for absent values are ignored; values without one keep their part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, own
 
 DIMS = ("source", "lang", "topic")
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+class NotConverged(ValueError):
+    """The targets cannot be met together, or not within the sweeps allowed."""
 
 
-def topic_of(text: Column) -> Column:
-    """A coarse topic from a text's form: empty, table, marked, loud, numbers, list, note, article or book."""
-    n = F.greatest(F.length(text), F.lit(1))
-    left = lambda chars: n - F.length(F.translate(text, chars, ""))
-    lines = left("\n") + 1
-    return (
-        F.when(F.length(text) == 0, "empty")
-        .when(left("|") * 60 > n, "table")
-        .when(left("#*$%&<>") * 25 > n, "marked")
-        .when(left("!") * 25 > n, "loud")
-        .when(left("0123456789") * 12 > n, "numbers")
-        .when((n / lines < 60) & (lines > 3), "list")
-        .when(n < 800, "note")
-        .when(n < 4000, "article")
-        .otherwise("book")
-    )
+def body() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
 def uniform(seed: int = 0) -> Column:
     """A document's own number in [0, 1)."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), body(), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def labelled(docs: DataFrame) -> DataFrame:
-    """doc_id, source, lang, topic, tokens (words) and u, a uniform number of the document."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    spaces = F.length(text) - F.length(F.translate(text, " \n\t", ""))
-    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), some("source").alias("source"), some("lang").alias("lang"), topic_of(text).alias("topic"), (spaces + 1).cast("long").alias("tokens"), uniform().alias("u"))
+def anchor_words(docs: DataFrame, anchors: int = 64, widest: float = 0.1) -> list[str]:
+    """The anchors, the rarest first: a fixed number of words."""
+    words = F.array_distinct(F.split(F.translate(body(), "\t\n\x0b\x0c\r.,;:!?()\"", " " * 14), " "))
+    n = docs.count()
+    found = docs.select(F.explode(words).alias("w")).where("length(w) between 5 and 40").groupBy("w").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= widest * n)
+    top = found.where(F.col("w").rlike(r"^\p{L}+$")).orderBy(F.desc("df"), "w").limit(anchors).collect()
+    return [r["w"] for r in sorted(top, key=lambda r: (r["df"], r["w"]))]
+
+
+def topic_of(anchors: list[str]) -> Column:
+    """The anchor that a text holds most often."""
+    if not anchors:
+        return F.lit("other")
+    found = F.regexp_extract_all(body(), F.lit(r"(?<!\p{L})(?:" + "|".join(map(re.escape, anchors)) + r")(?!\p{L})"), F.lit(0))
+    order = F.array(*map(F.lit, anchors))
+
+    def best(hits: Column) -> Column:
+        ranked = F.transform(F.array_intersect(order, hits), lambda a, i: F.struct(F.size(F.filter(hits, lambda h: h == a)).alias("n"), (-i).alias("i"), a.alias("a")))
+        return F.coalesce(F.array_max(ranked)["a"], F.lit("other"))
+
+    return F.when(F.size(found) == 0, "other").otherwise(F.transform(F.array(found), best)[0])
 
 
-def default_targets(cells: DataFrame, dim: str, alpha: float) -> DataFrame:
-    """value, share: proportional to tokens ** alpha."""
-    x = cells.groupBy(F.col(dim).alias("value")).agg(F.pow(F.sum("tokens"), F.lit(alpha)).alias("w"))
-    return x.select("value", (F.col("w") / F.sum("w").over(Window.partitionBy(F.lit(0)))).alias("share"))
+def words_of() -> Column:
+    return F.greatest(F.size(F.regexp_extract_all(body(), F.lit(WORD), F.lit(0))), F.lit(1)).cast("long")
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, sweeps: int = 30, tolerance: float = 1e-4) -> DataFrame:
-    """cells with `weight`, which sums to 1 and meets each target marginal."""
-    x = cells.withColumn("weight", F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(0))))
+def labels(topic: Column) -> dict[str, Column]:
+    some = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
+    return {"source": some(F.col("source")), "lang": some(F.col("lang")), "topic": some(topic)}
+
+
+def labelled(docs: DataFrame, topic: Column) -> DataFrame:
+    """doc_id, source, lang, topic, tokens (words) and u, a uniform number of the document."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(v.alias(k) for k, v in labels(topic).items()), words_of().alias("tokens"), uniform().alias("u"))
+
+
+def _scale(x: DataFrame, whole: float, rounds: int = 60) -> DataFrame:
+    """x with `wanted` = min(tokens, s * w), where the wanted sum to `whole`: s by bisection on sums that come to the driver."""
+    low, high = x.agg(F.min(F.col("tokens") / F.col("w")), F.max(F.col("tokens") / F.col("w"))).first()
+    low, high = 0.0, float(high or 1.0)
+    grid = 32
+    for _ in range(rounds):  # each pass narrows the bracket by `grid`
+        at = [low + (high - low) * k / grid for k in range(1, grid + 1)]
+        sums = x.agg(*(F.sum(F.least(F.col("tokens").cast("double"), F.lit(s) * F.col("w"))).alias(f"s{k}") for k, s in enumerate(at))).first()
+        hit = next((k for k, v in enumerate(sums) if (v or 0.0) >= whole * (1 - 1e-12)), grid - 1)
+        low, high = (at[hit - 1] if hit else low), at[hit]
+        if high - low <= 1e-9 * high:
+            break
+    return x.withColumn("wanted", F.least(F.col("tokens").cast("double"), F.lit(high) * F.col("w")))
+
+
+def default_targets(cells: DataFrame, alpha: float, fraction: float, total: int, scratch: Scratch) -> dict[str, DataFrame]:
+    """dimension -> value, want (words): the marginals of the cells with tokens * product of share ** (alpha - 1)."""
+    x = cells.withColumn("w", F.col("tokens").cast("double"))
     for d in DIMS:
-        t = targets[d].select(F.col("value").alias(d), F.col("share").alias(f"t_{d}"))
-        x = x.join(t, d, "left")
+        t = cells.groupBy(d).agg(F.sum("tokens").alias("t"))
+        x = x.join(t, d).withColumn("w", F.col("w") * F.pow(F.col("t") / float(total), F.lit(alpha - 1))).drop("t")
+    x = scratch.put(_scale(scratch.put(x), fraction * total))
+    return {d: x.groupBy(F.col(d).alias("value")).agg(F.sum("wanted").alias("want")) for d in DIMS}
+
+
+def wanted(cells: DataFrame, shares: dict[str, DataFrame | None], alpha: float, fraction: float, total: int, scratch: Scratch) -> tuple[dict[str, DataFrame], float]:
+    """Targets in words, and the part of all words that the sample is expected to hold."""
+    if not any(t is not None for t in shares.values()):
+        return default_targets(cells, alpha, fraction, total, scratch), fraction
+    rest = {}
+    for d, t in shares.items():
+        if t is not None:
+            have = cells.groupBy(F.col(d).alias("value")).agg((F.sum("tokens") / float(total)).alias("have"))
+            x = have.join(t.groupBy("value").agg(F.sum("share").alias("share")), "value", "left")
+            named = x.agg(F.sum("share"), F.sum(F.when(F.col("share").isNull(), F.col("have")))).first()
+            spare = max(0.0, 1.0 - (named[1] or 0.0))  # values without a target keep their part
+            x = x.select("value", "have", F.coalesce(F.col("share") * (spare / (named[0] or 1.0)), F.col("have")).alias("share"))
+            rest[d] = scratch.put(x)
+            fraction = min(fraction, rest[d].where("share > 0").agg(F.min(F.col("have") / F.col("share"))).first()[0] or fraction)
+    return {d: x.select("value", (F.col("share") * fraction * total).alias("want")) for d, x in rest.items()}, fraction
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, total: int, scratch: Scratch, sweeps: int = 200, tolerance: float = 1e-4) -> DataFrame:
+    """cells with p: the sample's expected words meet each target marginal."""
+    x = cells.withColumn("m", F.lit(float(fraction)))
+    for d, t in targets.items():
+        x = x.join(t.select(F.col("value").alias(d), F.col("want").alias(f"t_{d}")), d, "left")
     x = scratch.put(x)
-    for _ in range(sweeps):
+    part = F.least(F.lit(1.0), F.col("m")) * F.col("tokens")
+    gap, relax = math.inf, 1.0
+    for n in range(sweeps):
         y = x
-        for d in DIMS:
-            sums = y.groupBy(d).agg(F.sum("weight").alias("have"))
-            y = y.join(sums, d).withColumn("weight", F.when(F.col(f"t_{d}").isNull() | (F.col("have") <= 0), F.col("weight")).otherwise(F.col("weight") * F.col(f"t_{d}") / F.col("have"))).drop("have")
+        for d in targets:
+            # what cells at the cap give stays; the others are scaled to the rest
+            have = y.groupBy(d).agg(F.sum(part).alias("have"), F.sum(F.when(F.col("m") >= 1, F.col("tokens")).otherwise(0)).alias("full"))
+            t, free = F.col(f"t_{d}"), F.col("have") - F.col("full")
+            by = F.when(t.isNull() | (F.col("have") <= 0), 1.0).when((t > F.col("full")) & (free > 0), (t - F.col("full")) / free).otherwise(t / F.col("have"))
+            y = y.join(have, d).withColumn("m", F.col("m") * F.pow(by, F.lit(relax))).drop("have", "full")
         new = scratch.put(y)
-        off = 0.0
-        for d in DIMS[:-1]:
-            gap = new.groupBy(d).agg(F.sum("weight").alias("w"), F.first(f"t_{d}").alias("t")).agg(F.max(F.abs(F.col("w") - F.coalesce("t", "w")))).first()[0]
-            off = max(off, gap or 0.0)
         scratch.drop(x)
         x = new
-        if off <= tolerance:
+        relax = relax if n else 1.5  # over-relaxed steps: half the sweeps where dimensions depend on each other
+        if n % 3 != 2 and n + 1 < sweeps:
+            continue
+        off = [x.groupBy(d).agg(F.sum(part).alias("have"), F.first(f"t_{d}").alias("t")).select(F.max(F.abs(F.col("have") - F.coalesce("t", "have"))).alias("gap")) for d in targets]
+        both = off[0]
+        for o in off[1:]:
+            both = both.unionByName(o)
+        last, gap = gap, (both.agg(F.max("gap")).first()[0] or 0.0) / max(1.0, fraction * total)
+        relax = relax if gap < last else 1.0
+        if gap <= tolerance:
             break
-    total = F.sum("weight").over(Window.partitionBy(F.lit(0)))
-    return x.withColumn("weight", F.col("weight") / total)
-
-
-def probabilities(raked: DataFrame, fraction: float, rounds: int = 30) -> DataFrame:
-    """Adds p = min(1, scale * weight / tokens) with sum(p * tokens) = fraction * sum(tokens), as far as can be:
-    the scale is found from the cells in order of the scale at which each reaches 1."""
-    x = raked.withColumn("full", F.col("tokens") / F.greatest(F.col("weight"), F.lit(1e-300)))
-    by = Window.partitionBy(F.lit(0)).orderBy("full", *DIMS)
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    after = by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = F.sum("tokens").over(Window.partitionBy(F.lit(0))) * fraction
-    scale = (whole - F.coalesce(F.sum("tokens").over(before), F.lit(0))) / F.sum("weight").over(after)
-    y = x.withColumn("scale", scale).withColumn("fit", F.when(F.col("scale") <= F.col("full"), F.col("scale")))
-    first = F.coalesce(F.first("fit", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(1e300))
-    return y.withColumn("p", F.least(F.lit(1.0), first / F.col("full"))).drop("full", "scale", "fit")
-
-
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = 0.7, fraction: float = 0.5, sweeps: int = 30, tolerance: float = 1e-4, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, weight (of its cell), p and chosen, for each row of docs."""
+    else:
+        raise NotConverged(f"after {sweeps} sweeps a marginal is still off by {gap:.2e} of the wanted words; the targets may contradict each other")
+    return x.withColumn("p", F.least(F.lit(1.0), F.col("m"))).select(*DIMS, "tokens", "p")
+
+
+def calibrated(cells: DataFrame, targets: dict[str, DataFrame] | None, alpha: float, fraction: float, sweeps: int, tolerance: float, scratch: Scratch) -> DataFrame:
+    """source, lang, topic, tokens, weight (the cell's share of the sample) and p."""
+    total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    if not total:
+        return cells.withColumns({"weight": F.lit(0.0), "p": F.lit(0.0)})
+    goals, part = wanted(cells, {d: (targets or {}).get(d) for d in DIMS}, alpha, fraction, total, scratch)
+    return scratch.put(rake(cells, goals, part, total, scratch, sweeps, tolerance).withColumn("weight", F.col("tokens") * F.col("p") / (part * total)))
+
+
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = 0.7, fraction: float = 0.5, sweeps: int = 200, tolerance: float = 1e-4, topic: Column | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """doc_id, source, lang, topic, tokens, weight (its cell's share of the sample), p and chosen, for each row of docs."""
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
-    x = scratch.put(labelled(docs))
+    x = scratch.put(labelled(docs, topic if topic is not None else topic_of(anchor_words(docs))))
     cells = scratch.put(x.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
-    goals = {d: (targets or {}).get(d) for d in DIMS}
-    goals = {d: t if t is not None else default_targets(cells, d, alpha) for d, t in goals.items()}
-    p = scratch.put(probabilities(rake(cells, goals, scratch, sweeps, tolerance), fraction).select(*DIMS, "weight", "p"))
+    p = calibrated(cells, targets, alpha, fraction, sweeps, tolerance, scratch).select(*DIMS, "weight", "p")
     return x.join(p, list(DIMS)).select("doc_id", *DIMS, "tokens", "weight", "p", (F.col("u") < F.col("p")).alias("chosen"))
 
 
-def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = 0.7, fraction: float = 0.5, sweeps: int = 30, tolerance: float = 1e-4) -> DataFrame:
-    """The chosen rows of docs, all columns kept. Cells are joined where the row is, so no text is shuffled while they fit a
-    checked bound."""
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = 0.7, fraction: float = 0.5, sweeps: int = 200, tolerance: float = 1e-4, topic: Column | None = None) -> DataFrame:
+    """The chosen rows of docs, all columns kept. A row's cell is found by a join on its labels; the optimiser broadcasts the
+    cells while they are small and else deals both sides, splitting hot cells (adaptive execution)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    cells = scratch.put(labelled(docs).groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
-    goals = {d: (targets or {}).get(d) for d in DIMS}
-    goals = {d: t if t is not None else default_targets(cells, d, alpha) for d, t in goals.items()}
-    p = scratch.put(probabilities(rake(cells, goals, scratch, sweeps, tolerance), fraction).select(*(F.col(d).alias(f"_granary_{d}") for d in DIMS), F.col("p").alias("_granary_p")))
-    p = F.broadcast(p) if p.count() <= 50_000 else p
-    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
-    on = (some("source") == F.col("_granary_source")) & (some("lang") == F.col("_granary_lang")) & (topic_of(text) == F.col("_granary_topic"))
-    return docs.join(p, on).where(uniform() < F.col("_granary_p")).select(*own(docs))
+    topic = topic if topic is not None else topic_of(anchor_words(docs))
+    cells = scratch.put(labelled(docs, topic).groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
+    p = calibrated(cells, targets, alpha, fraction, sweeps, tolerance, scratch).select(*(F.col(d).alias(f"_granary_{d}") for d in DIMS), F.col("p").alias("_granary_p"))
+    on = [v == F.col(f"_granary_{d}") for d, v in labels(topic).items()]
+    return docs.where(uniform() < 1.0).join(p, on).where(uniform() < F.col("_granary_p")).select(*own(docs))

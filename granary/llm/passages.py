@@ -5,15 +5,17 @@ compact windows (l, c, r): all [i, j] with l <= i <= c <= j <= r have their mini
 the Cartesian tree over the hashes, cut where a node is shorter than a passage; nodes that are long enough are the minima of
 sliding windows, so the tree is built over those alone. Windows of different documents that share a minimum meet; in a
 group of any size each document is paired with the first one only, if they meet under at least `need` functions with overlapping
-windows. As that first one may hold a mere variant, all runs of `words` words whose minimum (under the first function)
-another document shares are classed by their exact content, and each document is paired with the first one of its class as well.
+windows. As that first one may hold a mere variant, the windows that share a minimum are grouped by finer keys too, and each
+document is paired with the first one under each of them: the minima of two and of three functions over one run of `words`
+words, and the exact content of every such run.
 Pairs are verified on the texts: runs of common shingles, bridged over a few edits, of at least `words` words with a
 Jaccard similarity of 0.8 or more.
 
 The result has a row per passage of a document that repeats in another: its words [start_word, end_word), the first document that
 holds it and where, and their similarity; the first document's own passage is a row too. Exact repeats of `words` words or more
 are always compared with the first document that holds them; a near repeat of one passage's length at similarity 0.8 with
-probability 0.97, or less if earlier documents hold variants of it that are too far from both.
+probability 0.97. Earlier documents that hold variants of it, too far from both, can stand before it under all keys that the two
+share; the README has the recall measured with one, two and four such variants.
 
 Null or short texts: no rows. Null doc_id: left out. Repeated rows of one doc_id: as one. Empty table: no rows. Other columns
 are ignored.
@@ -53,12 +55,18 @@ def windows(v, least: int):
     return out + [(l, p, len(v) - 1) for p, _, l in stack]
 
 
+def _salts(hashes: int):
+    import numpy as np
+
+    return [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 3) & 0xFFFFFFFFFFFFFFFF) for k in range(hashes)]
+
+
 def _windows(least: int, hashes: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        salts = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 3) & 0xFFFFFFFFFFFFFFFF) for k in range(hashes)]
+        salts = _salts(hashes)
         for part in slices(batches, ["text"]):
             sig, ids, pos = [], [], []
             for i, text in zip(part.column("doc_id").to_pylist(), raw(part.column("text"))):
@@ -78,8 +86,10 @@ def _windows(least: int, hashes: int):
     return run
 
 
-def _classes(least: int):
-    """The content of each run of `least` shingles in the windows `at`, by prefix sums of a polynomial hash."""
+def _keys(least: int, hashes: int):
+    """Keys by which documents meet that share the windows `at`: the content of each run of `least` shingles in those of the first
+    hash function (by prefix sums of a polynomial hash), and for every window the minima of two and of three functions over one
+    run in it, for the runs that end, centre and begin at its minimum."""
 
     def run(batches):
         import numpy as np
@@ -87,25 +97,42 @@ def _classes(least: int):
 
         none = np.zeros(0, np.int64)
         base = 0x9E3779B97F4A7C15
+        salts = _salts(hashes)
         for part in slices(batches, ["text"]):
-            content, ids = [none], [none]
+            keys, ids = [none], [none]
             for i, text, at in zip(part.column("doc_id").to_pylist(), raw(part.column("text")), part.column("at")):
                 h = shingles(text)
                 n = len(h) - least + 1
                 if n < 1:
                     continue
                 pos = at.values.to_numpy()
-                c = (pos >> 32) & ((1 << 28) - 1)
+                kind, c = pos >> 60, (pos >> 32) & ((1 << 28) - 1)
                 low = np.maximum(c - np.minimum((pos >> 16) & 65535, least - 1), 0)
                 high = np.minimum(c, c + (pos & 65535) - least + 1)
-                edge = np.bincount(np.minimum(low, n), minlength=n + 1) - np.bincount(np.minimum(high + 1, n), minlength=n + 1)
+                own = kind == 0
+                edge = np.bincount(np.minimum(low[own], n), minlength=n + 1) - np.bincount(np.minimum(high[own] + 1, n), minlength=n + 1)
                 start = np.flatnonzero(np.cumsum(edge[:n]) > 0)
-                up = np.cumprod(np.full(len(h), base, np.uint64))
-                down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up)])
-                content.append(((total[start + least] - total[start]) * down[start]).view(np.int64))
-                ids.append(np.full(len(start), i, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(content)), pa.array(np.concatenate(ids))], names=["content", "doc_id"])
+                mine = [none]
+                if len(start):
+                    up = np.cumprod(np.full(len(h), base, np.uint64))
+                    down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
+                    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up)])
+                    mine.append(np.unique(((total[start + least] - total[start]) * down[start]).view(np.int64)))
+                fit = high >= low
+                kind, c, low, high = kind[fit], c[fit], low[fit], high[fit]
+                rows = np.concatenate([low, (low + high) // 2, high])
+                who, first = np.tile(kind, 3), np.tile(c, 3)
+                runs = h[rows[:, None] + np.arange(least)]
+                for k in range(hashes):
+                    sel = who == k
+                    if hashes > 1 and sel.any():
+                        key = mix(h[first[sel]] + salts[k]) + np.uint64(k)
+                        for j in range(1, min(3, hashes)):
+                            key = mix(key * np.uint64(31) + mix(runs[sel] + salts[(k + j) % hashes]).min(1))
+                            mine.append(np.unique(key).view(np.int64))
+                keys += mine
+                ids.append(np.full(sum(map(len, mine)), i, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["content", "doc_id"])
 
     return run
 
@@ -186,9 +213,9 @@ def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2,
     right = F.least(F.col("pos").bitwiseAND(65535), F.col("first.pos").bitwiseAND(65535))
     kind = F.expr("shiftleft(1, cast(shiftright(pos, 60) as int))")
     pairs = met.where(left + right + 1 >= words - WORDS + 1).groupBy("doc_id", F.col("first.doc_id").alias("first_id")).agg(F.bit_or(kind).alias("kinds")).where(F.bit_count("kinds") >= need)
-    # classes of equal runs: whatever the first document under a minimum holds, equal runs meet
-    at = shared.where(F.shiftright("pos", 60) == 0).groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
-    runs = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_classes(words - WORDS + 1), "content long, doc_id long")
+    # nested keys: whatever the first document under one minimum holds, those that share more meet
+    at = shared.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    runs = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_keys(words - WORDS + 1, hashes), "content long, doc_id long")
     equal = runs.select("doc_id", F.min("doc_id").over(Window.partitionBy("content")).alias("first_id")).where("doc_id > first_id")
     pairs = scratch.put(pairs.select("doc_id", "first_id").unionByName(equal).distinct())
     scratch.free_shuffles()

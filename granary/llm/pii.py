@@ -22,12 +22,13 @@ BASE = {  # possessive and anchored forms of the four contract patterns: the sam
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
+#: The bounds are those of the formats: 64 characters of a mailbox, 63 of a label, 34 of an account number. Secrets have none.
 LOOSE = {
     "email_spelled": ("email", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}+ ?(?:\[at\]|\(at\)|\{at\}) ?[a-z0-9-]{2,63}+(?: ?(?:\.|\[dot\]|\(dot\)) ?[a-z0-9-]{2,63}+){1,4}+"),
     "ip_six": ("ip", r"(?i)(?<![0-9a-f:])[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){7}(?![0-9a-f:])"),
     "card_dotted": ("card", r"(?<![0-9.])[0-9]{4}\.[0-9]{4}\.[0-9]{4}\.[0-9]{4}(?![0-9.])"),
     "phone_national": ("phone", r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])"),
-    "secret": ("secret", r"(?<![A-Za-z0-9])[A-Za-z0-9_]{20,128}+(?![A-Za-z0-9])"),
+    "secret": ("secret", r"(?<![A-Za-z0-9])[A-Za-z0-9_]{20,}+(?![A-Za-z0-9])"),
     "iban": ("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}+(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"),
     "ssn": ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
@@ -42,6 +43,8 @@ CONTEXT = {
     "near_account": r"(?i)(?:iban|account|konto|bank|ssn|social)[^\n]{0,12}$",
     "near_equals": r"[=:] ?\"?$",
     "near_slash": r"[/\\#&?]$",
+    "near_digest": r"(?i)(?:commit|sha-?[0-9]*|md5|digest|etag|checksum|hash|build|revision|uuid)[^\n]{0,8}$",
+    "near_number": r"(?i)(?:order|invoice|ticket|version|isbn|part|item|case)[^\n]{0,10}$",
 }
 
 
