@@ -115,9 +115,9 @@ class Field:
             g_w = np.stack([np.bincount(rows, spread[:, k], 1 << BITS) for k in range(n)], 1)
             g_own = np.stack([np.bincount(own % len(self.own), by_word[:, k], len(self.own)) for k in range(n)], 1)
             g_own[-1] = 0
-            pair = alpha[:, :-1, :, None] * move * (x * beta)[:, 1:, None, :]
-            pair /= pair.sum((2, 3), keepdims=True)
-            g_t = gold_t - pair[both].sum(0)
+            here, then = alpha[:, :-1][both], (x * beta)[:, 1:][both]
+            here = here / ((here @ move) * then).sum(1, keepdims=True)
+            g_t = gold_t - (here.T @ then) * move
             g_s = gold_s - m[:, 0].sum(0)
             for p, g, a in zip((self.w, self.own, self.trans, self.start), (g_w, g_own, g_t, g_s), acc):
                 g = g / total - 1e-6 * p

@@ -2,14 +2,12 @@
 
 Each document gets counts from one pass over its whole text. The method then summarises four ratios per
 (lang, source) in mergeable quantile sketches (relative-error log buckets: two sketches merge by adding counts), takes a
-fence per group, and joins the fences back to the documents. Where at least a tenth of a group's documents have some of a
-ratio, the fence is median + spread * (q90 - median). Where fewer have any, quantiles of all documents say nothing: the
-sketch's positive buckets are then split in two at the cut that sets them apart best (the largest variance between the parts on
-the log scale), and the cut is the fence if it explains `APART` of the variance (an even spread has 0.75), else the largest value seen is. Groups of fewer than
-`least` documents, or for the split of fewer than `some` positive ones, use the sketch of their language, merged from those of its sources, and
-small languages that of all. No fence is above `LOOSE` times that of all documents, so a group that is largely of bad
-documents does not excuse them. There is no fixed cutoff: a document has SPARE symbols, lines or words beyond its fence, which
-is what one stray mark or repeated phrase takes.
+fence median + spread * (q90 - median) per group, and joins the fences back to the documents. Groups of fewer than
+`least` documents use the sketch of their language, merged from those of its sources, and small languages that of all. No
+fence is above `LOOSE` times that of all documents, so a group that is largely of bad documents does not excuse them.
+There is no fixed cutoff. Most documents have none of some ratios, whose quantiles would be zero: a ratio is sketched with SPARE marks,
+lines or words added to the document's own, which is what stray ones take, so that the fence grows with how short the group's
+documents are; and a document may have SPARE beyond its fence.
 
 Null text: no words. Null lang or source: a group of its own. Empty table: no rows. Repeated rows: judged alike, each
 returned. Very long texts: counted whole. Other columns of the input are ignored.
@@ -24,17 +22,11 @@ from pyspark.sql import types as T
 from .common import Scratch, map_whole, own, raw, slices
 
 COUNTS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_letters long, n_lines long"
-RATIOS = {
-    "symbols": "n_symbols / greatest(word_chars, 1)",
-    "upper": "n_upper / greatest(n_letters, 1)",
-    "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
-    "repeats": "n_repeat_words / greatest(n_words, 1)",
-}
-#: Numerator and denominator of each ratio, and what of it a document may have beyond its fence.
+#: Numerator and denominator of each ratio, and what stray marks, letters, lines or words take.
 PARTS = {"symbols": ("n_symbols", "word_chars"), "upper": ("n_upper", "n_letters"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words")}
 SPARE = {"symbols": 3, "upper": 10, "dup_lines": 1, "repeats": 8}
-LOOSE = 4.0
-APART = 0.85
+RATIOS = {k: f"({a} + {SPARE[k]}) / greatest({b}, 1)" for k, (a, b) in PARTS.items()}
+LOOSE = 2.0
 GAMMA = 1.02  # relative error of a quantile: about 1 %
 
 
@@ -90,37 +82,24 @@ def sketch(counts: DataFrame) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key and ratio from merged sketches: n, positive (documents with some), q50, q90, and split: the best cut of the positive buckets."""
+    """n, q50 and q90 per key and ratio from merged sketches."""
     merged = sketches.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, "ratio")
-    upto = by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    some = F.when(F.col("bucket") >= 0, F.col("n")).otherwise(0)
-    cum = merged.select(*keys, "ratio", "bucket", "n", F.sum("n").over(upto).alias("cum"), F.sum("n").over(by).alias("total"), F.sum(some).over(upto).alias("w"), F.sum(some).over(by).alias("positive"), F.sum(some * F.col("bucket")).over(upto).alias("s"), F.sum(some * F.col("bucket")).over(by).alias("all"), F.sum(some * F.col("bucket") * F.col("bucket")).over(by).alias("squares"), F.max("bucket").over(by).alias("top"))
-    of = lambda b: F.when(b < 0, 0.0).otherwise(1e-6 * F.pow(F.lit(GAMMA), b - 0.5))
-    at = lambda q: F.min(F.when(F.col("cum") >= q * F.col("total"), of(F.col("bucket"))))
-    rest = F.col("positive") - F.col("w")
-    gap = (F.col("all") - F.col("s")) / rest - F.col("s") / F.col("w")  # between the means of the two parts, in buckets
-    ok = (F.col("bucket") >= 0) & (rest > 0) & (F.col("w") > 0)
-    cut = F.max(F.when(ok, F.struct((F.col("w") * rest * gap * gap).alias("between"), (-F.col("bucket")).alias("b"), (F.col("positive") * F.col("squares") - F.col("all") * F.col("all")).alias("spread"))))
-    x = cum.groupBy(*keys, "ratio").agg(F.max("total").alias("n"), F.max("positive").alias("positive"), at(0.5).alias("q50"), at(0.9).alias("q90"), cut.alias("cut"), F.max("top").alias("top"))
-    found = F.coalesce(F.col("cut.between") >= APART * F.col("cut.spread"), F.lit(False))
-    edge = F.when(found, 1e-6 * F.pow(F.lit(GAMMA), -F.col("cut.b"))).when(F.col("top") >= 0, 1e-6 * F.pow(F.lit(GAMMA), F.col("top"))).otherwise(0.0)
-    return x.select(*keys, "ratio", "n", "positive", "q50", "q90", edge.alias("split"))
-
-
-def fences(sketches: DataFrame, spread: float = 6.0, least: int = 200, some: int = 50) -> DataFrame:
+    cum = merged.select(*keys, "ratio", "bucket", "n", F.sum("n").over(by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("cum"), F.sum("n").over(by).alias("total"))
+    value = F.when(F.col("bucket") < 0, 0.0).otherwise(1e-6 * F.pow(F.lit(GAMMA), F.col("bucket") - 0.5))
+    at = lambda q: F.min(F.when(F.col("cum") >= q * F.col("total"), value))
+    return cum.groupBy(*keys, "ratio").agg(F.max("total").alias("n"), at(0.5).alias("q50"), at(0.9).alias("q90"))
+
+
+def fences(sketches: DataFrame, spread: float = 6.0, least: int = 200) -> DataFrame:
     """A row per (lang, source) with a fence for every ratio."""
-    def level(keys: list[str], p: str) -> DataFrame:
-        return quantiles(sketches, keys).select(*(F.col(k).alias(f"{p}_{k}") for k in [*keys, "ratio"]), *(F.col(c).alias(f"{p}_{c}") for c in ("n", "positive", "q50", "q90", "split")))
-
-    x = quantiles(sketches, ["lang", "source"]).join(level(["lang"], "l"), F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("ratio") == F.col("l_ratio"))).join(F.broadcast(level([], "e")), F.col("ratio") == F.col("e_ratio"))  # four rows
-    of = lambda p, c: F.col(f"{p}_{c}" if p else c)
-    pick = lambda least_, by, value: F.when(of("", by) >= least_, value("")).when(of("l", by) >= least_, value("l")).otherwise(value("e"))
-    spreads = lambda p: of(p, "q50") + spread * (of(p, "q90") - of(p, "q50"))
-    dense = pick(least, "n", lambda p: F.when(of(p, "q90") > 0, spreads(p)))
-    sparse = pick(some, "positive", lambda p: of(p, "split"))
-    every = F.when(of("e", "q90") > 0, spreads("e")).otherwise(of("e", "split"))
-    fence = F.least(F.coalesce(dense, sparse), LOOSE * every, F.lit(1.0))
+    own = quantiles(sketches, ["lang", "source"])
+    lang = quantiles(sketches, ["lang"]).select(F.col("lang").alias("l"), F.col("ratio").alias("r"), F.col("n").alias("ln"), F.col("q50").alias("l50"), F.col("q90").alias("l90"))
+    every = quantiles(sketches, []).select(F.col("ratio").alias("e"), F.col("q50").alias("e50"), F.col("q90").alias("e90"))
+    x = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("ratio") == F.col("r"))).join(F.broadcast(every), F.col("ratio") == F.col("e"))  # four rows
+    pick = lambda q: F.when(F.col("n") >= least, F.col(f"q{q}")).when(F.col("ln") >= least, F.col(f"l{q}")).otherwise(F.col(f"e{q}"))
+    above = lambda low, high: low + spread * (high - low)
+    fence = F.least(above(pick(50), pick(90)), LOOSE * above(F.col("e50"), F.col("e90")), F.lit(1.0))
     return x.groupBy("lang", "source").agg(*(F.max(F.when(F.col("ratio") == k, fence)).alias(f"fence_{k}") for k in RATIOS))
 
 

@@ -80,7 +80,7 @@ def tree(atoms: DataFrame, shards: int, scratch: Scratch, heavy_at: int = 32) ->
     is_heavy = F.col("bytes") * shards * heavy_at > total
     heavy = {(r["text_crc32"], r["size"]): r["bytes"] for r in atoms.where(is_heavy).select("text_crc32", "size", "bytes").collect()}
     light = scratch.put(atoms.where(~is_heavy).withColumn("node", F.lit(1).cast("long")))
-    ranges = [f(f"at_{d}").alias(f"{n}_{d}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max))]
+    ranges = [f(F.shiftright(f"at_{d}", 31)).alias(f"{n}_{d}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max))]
     span = light.agg(*ranges).first()
     spark = atoms.sparkSession
     leaves, place = {1: (0, shards)}, dict.fromkeys(heavy, 1)  # node -> first shard and number of shards
