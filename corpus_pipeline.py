@@ -29,13 +29,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each document."""
-    return shards.shard(docs, shards=8)
+    """The documents with their shard and slot."""
+    return shards.shard(docs, shards=8, whole=True)
 
 
 STAGES = [(f.__name__, f) for f in (quality_rules, near_duplicates, decontamination, mix_sources, sharding)]
 
-#: Sampling by a 64-bit hash and the exact k-d cuts have no SQL form; the stages are tested against brute force.
+#: Sampling by a 64-bit hash and the exact k-d cuts have no SQL form; the stages are tested against a plain version.
 ORACLE_SQL = None
 
 
@@ -43,5 +43,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:
-        docs = scratch.put(stage(spark, docs, sf_dir))
+        done = scratch.put(stage(spark, docs, sf_dir))
+        if hasattr(docs, "scratch_path"):
+            scratch.drop(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
