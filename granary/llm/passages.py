@@ -5,9 +5,9 @@ compact windows (l, c, r): all [i, j] with l <= i <= c <= j <= r have their mini
 the Cartesian tree over the hashes, cut where a node is shorter than a passage; nodes that are long enough are the minima of
 sliding windows, so the tree is built over those alone. Windows of different documents that share a minimum meet; in a
 group of any size each document is paired with the first one only, if they meet under at least `need` functions with overlapping
-windows. As that first one may hold a mere variant, the windows that share a minimum are grouped by finer keys too, and each
-document is paired with the first one under each of them: the minima of two and of three functions over one run of `words`
-words, and the exact content of every such run.
+windows. That first one may hold a mere variant. So the groups with a window that does not lie within a passage found meet
+again by finer keys, and each document is paired with the first one under each of them: the minima of two and of three functions over
+one run of `words` words, and the exact content of every such run.
 Pairs are verified on the texts: runs of common shingles, bridged over a few edits, of at least `words` words with a
 Jaccard similarity of 0.8 or more.
 
@@ -199,29 +199,48 @@ def _verify(table):
     return pa.table({x.split()[0]: pa.array(c, k) for x, c, k in zip(FOUND.split(", "), cols, kinds)})
 
 
+def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """FOUND of the pairs (doc_id, first_id): the later documents of a first one in groups of GROUP."""
+    parts = pairs.groupBy("first_id").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
+    ends = pairs.join(parts, "first_id").select("doc_id", "first_id", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"))
+    firsts = ends.select(F.col("first_id").alias("doc_id"), "first_id", "part").distinct().withColumn("is_first", F.lit(True))
+    wanted = scratch.put(ends.withColumn("is_first", F.lit(False)).unionByName(firsts))
+    found = scratch.put(docs.join(wanted.hint("merge"), "doc_id").where("text is not null").groupBy("first_id", "part").applyInArrow(_verify, FOUND))
+    scratch.drop(wanted)
+    scratch.free_shuffles()
+    return found
+
+
 def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2, scratch: Scratch | None = None) -> DataFrame:
     """FOUND: the passages of docs that repeat in other documents."""
     scratch = scratch or Scratch(docs.sparkSession, "passages")
+    least = words - WORDS + 1
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    w = docs.mapInArrow(_windows(words - WORDS + 1, hashes), "sig long, doc_id long, pos long")
+    w = docs.mapInArrow(_windows(least, hashes), "sig long, doc_id long, pos long")
     by = Window.partitionBy("sig")
-    shared = scratch.put(w.select("doc_id", "pos", F.min(F.struct("doc_id", "pos")).over(by).alias("first"), F.max("doc_id").over(by).alias("last")).where("last > first.doc_id").drop("last"))
+    w = w.select("doc_id", "pos", F.min(F.struct("doc_id", "pos")).over(by).alias("first"), F.max("doc_id").over(by).alias("last")).where("last > first.doc_id")
+    shared = scratch.put(w.select("doc_id", "pos", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos")))
     scratch.free_shuffles()
-    met = shared.where("doc_id > first.doc_id")
+    met = shared.where("doc_id > first_id")
     # interval join: the windows, laid on one another by their minima, overlap for a passage's length
-    left = F.least(F.shiftright("pos", 16).bitwiseAND(65535), F.shiftright("first.pos", 16).bitwiseAND(65535))
-    right = F.least(F.col("pos").bitwiseAND(65535), F.col("first.pos").bitwiseAND(65535))
+    reach = lambda bits: F.least(F.shiftright("pos", bits).bitwiseAND(65535), F.shiftright("first_pos", bits).bitwiseAND(65535))
     kind = F.expr("shiftleft(1, cast(shiftright(pos, 60) as int))")
-    pairs = met.where(left + right + 1 >= words - WORDS + 1).groupBy("doc_id", F.col("first.doc_id").alias("first_id")).agg(F.bit_or(kind).alias("kinds")).where(F.bit_count("kinds") >= need)
-    # nested keys: whatever the first document under one minimum holds, those that share more meet
-    at = shared.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
-    runs = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_keys(words - WORDS + 1, hashes), "content long, doc_id long")
-    equal = runs.select("doc_id", F.min("doc_id").over(Window.partitionBy("content")).alias("first_id")).where("doc_id > first_id")
-    pairs = scratch.put(pairs.select("doc_id", "first_id").unionByName(equal).distinct())
+    pairs = scratch.put(met.where(reach(16) + reach(0) + 1 >= least).groupBy("doc_id", "first_id").agg(F.bit_or(kind).alias("kinds")).where(F.bit_count("kinds") >= need).select("doc_id", "first_id"))
+    found = _verified(docs, pairs, scratch)
+    # a group stays open if a window of a member is not wholly within a passage found: its first document may hold a mere variant.
+    # All its members meet again, by finer keys
+    c = F.shiftright("pos", 32).bitwiseAND((1 << 28) - 1)
+    low, high = c - F.least(F.shiftright("pos", 16).bitwiseAND(65535), F.lit(least - 1)), c + F.least(F.col("pos").bitwiseAND(65535), F.lit(least - 1))
+    rows = met.select("doc_id", "first_id", "first_pos", low.alias("low"), high.alias("high"))
+    within = found.where("first_doc_id < doc_id").select(F.col("doc_id").alias("d"), F.col("start_word").alias("s"), (F.col("end_word") - WORDS).alias("e")).distinct()
+    open_ = rows.join(within.hint("merge"), (F.col("doc_id") == F.col("d")) & (F.col("low") >= F.col("s")) & (F.col("high") <= F.col("e")), "left_anti").select("first_id", "first_pos").distinct()
+    at = scratch.put(shared.join(open_.hint("merge"), ["first_id", "first_pos"], "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("at")))
+    scratch.drop(shared)
     scratch.free_shuffles()
-    parts = pairs.groupBy("first_id").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
-    ends = pairs.join(parts, "first_id").select("doc_id", "first_id", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"))
-    firsts = ends.select(F.col("first_id").alias("doc_id"), "first_id", "part").distinct().withColumn("is_first", F.lit(True))
-    wanted = scratch.put(ends.withColumn("is_first", F.lit(False)).unionByName(firsts))
-    found = docs.join(wanted.hint("merge"), "doc_id").where("text is not null").groupBy("first_id", "part").applyInArrow(_verify, FOUND)
-    return found.groupBy(*[x.split()[0] for x in FOUND.split(", ")[:6]]).agg(F.max("similarity").alias("similarity"))
+    keys = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_keys(least, hashes), "content long, doc_id long")
+    again = keys.select("doc_id", F.min("doc_id").over(Window.partitionBy("content")).alias("first_id")).where("doc_id > first_id").distinct()
+    more = scratch.put(again.join(pairs.hint("merge"), ["doc_id", "first_id"], "left_anti"))
+    scratch.drop(at)
+    scratch.free_shuffles()
+    both = found.unionByName(_verified(docs, more, scratch))
+    return both.groupBy(*[x.split()[0] for x in FOUND.split(", ")[:6]]).agg(F.max("similarity").alias("similarity"))
