@@ -2,7 +2,7 @@
 
 Words are summed per cell (source, language, topic). A topic is an anchor word: the `anchors` words of five letters or more that most
 documents hold, of those that at most `widest` of all documents do, found by counting over the whole corpus; a document's topic is the
-anchor it holds most often, the rarer one of equals, or `other`. A caller's own topic column replaces this.
+anchor that its text names first, or `other`. A caller's own topic column replaces this.
 
 Raking: a cell's probability is p = min(1, m_source * m_lang * m_topic), with a multiplier per value of each dimension. Each sweep scales
 the multipliers of one dimension after the other so that the sample's expected words meet its targets under the cap of 1, until
@@ -23,7 +23,6 @@ Empty table: no rows. Repeated rows: sampled alike. Targets for absent values ar
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +30,6 @@ from pyspark.sql import functions as F
 from .common import Scratch, own
 
 DIMS = ("source", "lang", "topic")
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 class NotConverged(ValueError):
@@ -47,31 +45,30 @@ def uniform(seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), body(), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
 
 
+def pieces() -> Column:
+    """The text cut at blanks; a blank at either end leaves an empty piece there."""
+    return F.split(body(), r"[\x20\x09-\x0D]+")
+
+
 def anchor_words(docs: DataFrame, anchors: int = 64, widest: float = 0.1) -> list[str]:
-    """The anchors, the rarest first: a fixed number of words."""
-    words = F.array_distinct(F.split(F.translate(body(), "\t\n\x0b\x0c\r.,;:!?()\"", " " * 14), " "))
+    """The anchors in order of the alphabet: a fixed number of words."""
     n = docs.count()
-    found = docs.select(F.explode(words).alias("w")).where("length(w) between 5 and 40").groupBy("w").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= widest * n)
-    top = found.where(F.col("w").rlike(r"^\p{L}+$")).orderBy(F.desc("df"), "w").limit(anchors).collect()
-    return [r["w"] for r in sorted(top, key=lambda r: (r["df"], r["w"]))]
+    found = docs.select(F.explode(F.array_distinct(pieces())).alias("w")).where("length(w) between 5 and 40").groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    found = found.where((F.col("df") <= widest * n) & F.col("w").rlike(r"^\p{L}+$"))
+    return sorted(r["w"] for r in found.orderBy(F.desc("df"), "w").limit(anchors).collect())
 
 
-def topic_of(anchors: list[str]) -> Column:
-    """The anchor that a text holds most often."""
+def topic_of(anchors: list[str], words: Column) -> Column:
+    """The first of the words that is an anchor."""
     if not anchors:
         return F.lit("other")
-    found = F.regexp_extract_all(body(), F.lit(r"(?<!\p{L})(?:" + "|".join(map(re.escape, anchors)) + r")(?!\p{L})"), F.lit(0))
-    order = F.array(*map(F.lit, anchors))
-
-    def best(hits: Column) -> Column:
-        ranked = F.transform(F.array_intersect(order, hits), lambda a, i: F.struct(F.size(F.filter(hits, lambda h: h == a)).alias("n"), (-i).alias("i"), a.alias("a")))
-        return F.coalesce(F.array_max(ranked)["a"], F.lit("other"))
-
-    return F.when(F.size(found) == 0, "other").otherwise(F.transform(F.array(found), best)[0])
+    return F.coalesce(F.get(F.array_intersect(words, F.array(*map(F.lit, anchors))), F.lit(0)), F.lit("other"))
 
 
-def words_of() -> Column:
-    return F.greatest(F.size(F.regexp_extract_all(body(), F.lit(WORD), F.lit(0))), F.lit(1)).cast("long")
+def count_of(words: Column) -> Column:
+    """The non-empty pieces; 1 at least."""
+    empty = lambda i: (F.element_at(words, i) == "").cast("int")
+    return F.greatest(F.size(words) - F.when(F.size(words) > 1, empty(1) + empty(-1)).otherwise(empty(1)), F.lit(1)).cast("long")
 
 
 def labels(topic: Column) -> dict[str, Column]:
@@ -79,9 +76,12 @@ def labels(topic: Column) -> dict[str, Column]:
     return {"source": some(F.col("source")), "lang": some(F.col("lang")), "topic": some(topic)}
 
 
-def labelled(docs: DataFrame, topic: Column) -> DataFrame:
-    """doc_id, source, lang, topic, tokens (words) and u, a uniform number of the document."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(v.alias(k) for k, v in labels(topic).items()), words_of().alias("tokens"), uniform().alias("u"))
+def labelled(docs: DataFrame, anchors: list[str], topic: Column | None = None) -> DataFrame:
+    """doc_id, source, lang, topic, tokens (words) and u, a uniform number of the document. The text is cut once."""
+    own_topic = [] if topic is None else [topic.alias("_t")]
+    x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", *own_topic, uniform().alias("u"), pieces().alias("_w"))
+    found = labels(F.col("_t") if own_topic else topic_of(anchors, F.col("_w")))
+    return x.select("doc_id", *(v.alias(k) for k, v in found.items()), count_of(F.col("_w")).alias("tokens"), "u")
 
 
 def _scale(x: DataFrame, whole: float, rounds: int = 60) -> DataFrame:
@@ -173,7 +173,7 @@ def calibrated(cells: DataFrame, targets: dict[str, DataFrame] | None, alpha: fl
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha: float = 0.7, fraction: float = 0.5, sweeps: int = 200, tolerance: float = 1e-4, topic: Column | None = None, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, source, lang, topic, tokens, weight (its cell's share of the sample), p and chosen, for each row of docs."""
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
-    x = scratch.put(labelled(docs, topic if topic is not None else topic_of(anchor_words(docs))))
+    x = scratch.put(labelled(docs, anchor_words(docs) if topic is None else [], topic))
     cells = scratch.put(x.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
     p = calibrated(cells, targets, alpha, fraction, sweeps, tolerance, scratch).select(*DIMS, "weight", "p")
     return x.join(p, list(DIMS)).select("doc_id", *DIMS, "tokens", "weight", "p", (F.col("u") < F.col("p")).alias("chosen"))
@@ -183,8 +183,8 @@ def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, alpha:
     """The chosen rows of docs, all columns kept. A row's cell is found by a join on its labels; the optimiser broadcasts the
     cells while they are small and else deals both sides, splitting hot cells (adaptive execution)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    topic = topic if topic is not None else topic_of(anchor_words(docs))
-    cells = scratch.put(labelled(docs, topic).groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
+    anchors = anchor_words(docs) if topic is None else []
+    cells = scratch.put(labelled(docs, anchors, topic).groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
     p = calibrated(cells, targets, alpha, fraction, sweeps, tolerance, scratch).select(*(F.col(d).alias(f"_granary_{d}") for d in DIMS), F.col("p").alias("_granary_p"))
-    on = [v == F.col(f"_granary_{d}") for d, v in labels(topic).items()]
-    return docs.where(uniform() < 1.0).join(p, on).where(uniform() < F.col("_granary_p")).select(*own(docs))
+    found = labels(topic if topic is not None else topic_of(anchors, pieces()))
+    return docs.join(p, [v == F.col(f"_granary_{d}") for d, v in found.items()]).where(uniform() < F.col("_granary_p")).select(*own(docs))

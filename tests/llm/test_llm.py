@@ -327,11 +327,11 @@ def test_mixing_against_plain(spark):
 
 def test_topics(spark):
     r = random.Random(15)
-    rows = [(i, " ".join(["and", "the"] * 5 + [r.choice(WORDS) for _ in range(20)] + [["stars", "bread"][i % 2]] * 3) if i < 20 else prose(30)) for i in range(300)]
+    rows = [(i, " ".join(["and", "the"] * 5 + [["stars", "bread"][i % 2], "and"]) if i < 20 else prose(30)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     anchors = mixing.anchor_words(df, anchors=400)
     assert {"stars", "bread"} <= set(anchors) and not {"and", "the"} & set(anchors)
-    got = {x[0]: x[1] for x in df.select("doc_id", mixing.topic_of(anchors)).collect()}
+    got = {x[0]: x[1] for x in df.select("doc_id", mixing.topic_of(anchors, mixing.pieces())).collect()}
     assert all(got[i] == ["stars", "bread"][i % 2] for i in range(20))
 
 
