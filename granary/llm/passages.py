@@ -6,7 +6,7 @@ the Cartesian tree over the hashes, cut where a node is shorter than a passage;
 sliding windows, so the tree is built over those alone. Windows of different documents that share a minimum meet; in a
 group of any size each document is paired with the first one only, if they meet under at least `need` functions with overlapping
 windows. That first one may hold a mere variant. So the groups with a window that does not lie within a passage found meet
-again by finer keys, and each document is paired with the first one under each of them: the minima of two and of three functions over
+again by finer keys, if as many functions' windows lie around, and each document is paired with the first one under each of them: the minima of two and of three functions over
 one run of `words` words, and the exact content of every such run.
 Pairs are verified on the texts: runs of common shingles, bridged over a few edits, of at least `words` words with a
 Jaccard similarity of 0.8 or more.
@@ -86,10 +86,39 @@ def _windows(least: int, hashes: int):
     return run
 
 
+OPEN = 1 << 62  # of a window's position: it is not within a passage found
+
+
+def _backed(least: int, need: int):
+    """The windows that at least `need` functions' windows back: only such can hold a passage. Documents without an open one still
+    stand as first ones for others."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            ids, kept = [], []
+            for i, at in zip(b.column("doc_id").to_pylist(), b.column("at")):
+                pos = np.sort(at.values.to_numpy() if len(at) else np.zeros(0, np.int64))
+                kind, c = (pos >> 60) & 3, (pos >> 32) & ((1 << 28) - 1)
+                near = np.zeros(len(pos), np.int64)
+                for k in range(4):
+                    own = np.sort(c[kind == k])
+                    near += np.searchsorted(own, c + least, "left") > np.searchsorted(own, c - least, "right")
+                pos = pos[near >= need]
+                if len(pos):
+                    ids.append(i)
+                    kept.append(pos)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.list_(pa.int64()))], names=["doc_id", "at"])
+
+    return run
+
+
 def _keys(least: int, hashes: int):
     """Keys by which documents meet that share the windows `at`: the content of each run of `least` shingles in those of the first
     hash function (by prefix sums of a polynomial hash), and for every window the minima of two and of three functions over one
-    run in it, for the runs that end, centre and begin at its minimum."""
+    run in it, for the runs that end, centre and begin at its minimum. A key is open if a window that gives it is."""
 
     def run(batches):
         import numpy as np
@@ -98,30 +127,36 @@ def _keys(least: int, hashes: int):
         none = np.zeros(0, np.int64)
         base = 0x9E3779B97F4A7C15
         salts = _salts(hashes)
+
+        def spans(low, high, n):
+            edge = np.bincount(np.minimum(low, n), minlength=n + 1) - np.bincount(np.minimum(high + 1, n), minlength=n + 1)
+            return np.cumsum(edge[:n]) > 0
+
         for part in slices(batches, ["text"]):
-            keys, ids = [none], [none]
+            keys, opens, ids = [none], [np.zeros(0, bool)], [none]
             for i, text, at in zip(part.column("doc_id").to_pylist(), raw(part.column("text")), part.column("at")):
                 h = shingles(text)
                 n = len(h) - least + 1
                 if n < 1:
                     continue
                 pos = at.values.to_numpy()
+                is_open, pos = (pos & OPEN) > 0, pos & ~np.int64(OPEN)
                 kind, c = pos >> 60, (pos >> 32) & ((1 << 28) - 1)
                 low = np.maximum(c - np.minimum((pos >> 16) & 65535, least - 1), 0)
                 high = np.minimum(c, c + (pos & 65535) - least + 1)
                 own = kind == 0
-                edge = np.bincount(np.minimum(low[own], n), minlength=n + 1) - np.bincount(np.minimum(high[own] + 1, n), minlength=n + 1)
-                start = np.flatnonzero(np.cumsum(edge[:n]) > 0)
-                mine = [none]
+                mine, flags = [], []
+                start = np.flatnonzero(spans(low[own], high[own], n))
                 if len(start):
                     up = np.cumprod(np.full(len(h), base, np.uint64))
                     down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
                     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up)])
-                    mine.append(np.unique(((total[start + least] - total[start]) * down[start]).view(np.int64)))
+                    mine.append((total[start + least] - total[start]) * down[start])
+                    flags.append(spans(low[own & is_open], high[own & is_open], n)[start])
                 fit = high >= low
-                kind, c, low, high = kind[fit], c[fit], low[fit], high[fit]
+                kind, c, low, high, is_open = kind[fit], c[fit], low[fit], high[fit], is_open[fit]
                 rows = np.concatenate([low, (low + high) // 2, high])
-                who, first = np.tile(kind, 3), np.tile(c, 3)
+                who, first, flag = np.tile(kind, 3), np.tile(c, 3), np.tile(is_open, 3)
                 runs = h[rows[:, None] + np.arange(least)]
                 for k in range(hashes):
                     sel = who == k
@@ -129,10 +164,15 @@ def _keys(least: int, hashes: int):
                         key = mix(h[first[sel]] + salts[k]) + np.uint64(k)
                         for j in range(1, min(3, hashes)):
                             key = mix(key * np.uint64(31) + mix(runs[sel] + salts[(k + j) % hashes]).min(1))
-                            mine.append(np.unique(key).view(np.int64))
-                keys += mine
-                ids.append(np.full(sum(map(len, mine)), i, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["content", "doc_id"])
+                            mine.append(key)
+                            flags.append(flag[sel])
+                if not mine:
+                    continue
+                key, at = np.unique(np.concatenate(mine), return_inverse=True)
+                keys.append(key.view(np.int64))
+                opens.append(np.bincount(at, np.concatenate(flags), len(key)) > 0)
+                ids.append(np.full(len(key), i, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(opens))], names=["content", "doc_id", "open"])
 
     return run
 
@@ -231,16 +271,18 @@ def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2,
     # All its members meet again, by finer keys
     c = F.shiftright("pos", 32).bitwiseAND((1 << 28) - 1)
     low, high = c - F.least(F.shiftright("pos", 16).bitwiseAND(65535), F.lit(least - 1)), c + F.least(F.col("pos").bitwiseAND(65535), F.lit(least - 1))
-    rows = met.select("doc_id", "first_id", "first_pos", low.alias("low"), high.alias("high"))
+    rows = met.select("doc_id", "pos", "first_id", "first_pos", low.alias("low"), high.alias("high"))
     within = found.where("first_doc_id < doc_id").select(F.col("doc_id").alias("d"), F.col("start_word").alias("s"), (F.col("end_word") - WORDS).alias("e")).distinct()
-    open_ = rows.join(within.hint("merge"), (F.col("doc_id") == F.col("d")) & (F.col("low") >= F.col("s")) & (F.col("high") <= F.col("e")), "left_anti").select("first_id", "first_pos").distinct()
-    at = scratch.put(shared.join(open_.hint("merge"), ["first_id", "first_pos"], "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("at")))
+    open_ = scratch.put(rows.join(within.hint("merge"), (F.col("doc_id") == F.col("d")) & (F.col("low") >= F.col("s")) & (F.col("high") <= F.col("e")), "left_anti").select("doc_id", "pos", "first_id", "first_pos"))
+    members = shared.join(open_.select("first_id", "first_pos").distinct().hint("merge"), ["first_id", "first_pos"], "left_semi").select("doc_id", "pos")
+    at = members.unionByName(open_.select("doc_id", F.col("pos").bitwiseOR(F.lit(OPEN)).alias("pos"))).groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    at = scratch.put(at.mapInArrow(_backed(least, need), "doc_id long, at array<long>"))
     scratch.drop(shared)
     scratch.free_shuffles()
-    keys = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_keys(least, hashes), "content long, doc_id long")
-    again = keys.select("doc_id", F.min("doc_id").over(Window.partitionBy("content")).alias("first_id")).where("doc_id > first_id").distinct()
+    keys = docs.join(at.hint("merge"), "doc_id").where("text is not null").mapInArrow(_keys(least, hashes), "content long, doc_id long, open boolean")
+    again = keys.select("doc_id", "open", F.min("doc_id").over(Window.partitionBy("content")).alias("first_id")).where("open and doc_id > first_id").select("doc_id", "first_id").distinct()
     more = scratch.put(again.join(pairs.hint("merge"), ["doc_id", "first_id"], "left_anti"))
-    scratch.drop(at)
+    scratch.drop(at, open_)
     scratch.free_shuffles()
     both = found.unionByName(_verified(docs, more, scratch))
     return both.groupBy(*[x.split()[0] for x in FOUND.split(", ")[:6]]).agg(F.max("similarity").alias("similarity"))
