@@ -37,14 +37,30 @@ def shingles(text: bytes):
     return shingle_hashes(word_hashes(text.lower().split()))
 
 
-def windows(v, least: int):
-    """Compact windows (l, c, r) of at least `least` positions of the values v: nodes of the Cartesian tree."""
+PLACE = (1 << 28) - 1  # bits of a position
+
+
+def minima(v, least: int):
+    """Positions of the sliding windows' minima, the first of equal ones, each once: minima of value and position packed in one number,
+    over spans that double."""
     import numpy as np
 
+    x = (v & np.uint64(~PLACE & 0xFFFFFFFFFFFFFFFF)) | np.arange(len(v), dtype=np.uint64)
+    span = 1
+    while 2 * span <= least:
+        x = np.minimum(x[:-span], x[span:])
+        span *= 2
+    if span < least:
+        x = np.minimum(x[: len(x) - (least - span)], x[least - span :])
+    at = (x & np.uint64(PLACE)).astype(np.int64)
+    return at[np.r_[True, at[1:] != at[:-1]]]
+
+
+def windows(v, least: int):
+    """Compact windows (l, c, r) of at least `least` positions of the values v: nodes of the Cartesian tree."""
     if len(v) < least:
         return []
-    at = np.lib.stride_tricks.sliding_window_view(v, least).argmin(1) + np.arange(len(v) - least + 1)
-    at = at[np.r_[True, at[1:] != at[:-1]]]
+    at = minima(v, least)
     at, value = at.tolist(), v[at].tolist()
     out, stack = [], []  # positions and values of the path from the root; l of each
     for c, x in zip(at, value):
@@ -177,19 +193,19 @@ def _keys(least: int, hashes: int):
     return run
 
 
-def _runs(own, other, bridge: int = 12):
-    """Passages of `own` that repeat in `other`: (start, end, other_start, other_end, similarity) in shingles, ends inclusive."""
+def _runs(own, other, order, ranked, bridge: int = 12):
+    """Passages of `own` that repeat in `other`: (start, end, other_start, other_end, similarity) in shingles, ends inclusive. order,
+    ranked: other's positions and values by value."""
     import numpy as np
 
-    order = np.argsort(other, kind="stable")
-    found = np.searchsorted(other[order], own)
+    found = np.searchsorted(ranked, own)
     found[found == len(other)] = 0
-    hit = np.flatnonzero(other[order][found] == own)
-    if not len(hit):
+    hit = np.flatnonzero(ranked[found] == own)
+    if 100 * len(hit) < 80 * (LEAST - WORDS + 1):  # a passage has as many shingles in common
         return []
     # of several places in the other text take the one on the last hit's diagonal, if any
     place = order[found[hit]]
-    many = np.searchsorted(other[order], own[hit], "right") - found[hit]
+    many = np.searchsorted(ranked, own[hit], "right") - found[hit]
     for n in np.flatnonzero(many > 1).tolist():
         if n:
             p, f = int(hit[n]), int(found[hit[n]])
@@ -229,9 +245,11 @@ def _verify(table):
         else:
             texts[i] = text
     other = shingles(first[1].encode())
+    order = other.argsort(kind="stable")
+    ranked = other[order]
     own = set()
     for i, text in sorted(texts.items()):
-        for s, e, u, v, sim in _runs(shingles(text.encode()), other):
+        for s, e, u, v, sim in _runs(shingles(text.encode()), other, order, ranked):
             rows.append((i, s, e + WORDS, first[0], u, v + WORDS, sim))
             own.add((first[0], u, v + WORDS, first[0], u, v + WORDS, 1.0))
     cols = list(zip(*rows, *sorted(own))) or [[]] * 7
@@ -255,6 +273,8 @@ def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2,
     """FOUND: the passages of docs that repeat in other documents."""
     scratch = scratch or Scratch(docs.sparkSession, "passages")
     least = words - WORDS + 1
+    if hashes > 4:
+        raise ValueError("a window's position has two bits for its hash function")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     w = docs.mapInArrow(_windows(least, hashes), "sig long, doc_id long, pos long")
     by = Window.partitionBy("sig")
