@@ -89,7 +89,13 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def compatible_types(a: Column, b: Column) -> Column:
-    return a.isNull() | b.isNull() | (F.lower(a) == F.lower(b))
+    """Null fits all; a and b are folded by casefold()."""
+    return a.isNull() | b.isNull() | (a == b)
+
+
+def label_order(x: Column) -> Column:
+    """Distinct strings, sorted by their lower case, then by themselves."""
+    return F.transform(F.array_sort(F.transform(F.array_distinct(x), lambda v: F.struct(F.lower(v).alias("l"), v.alias("r")))), lambda s: s["r"])
 
 
 def tags(x: Column) -> Column:

@@ -35,15 +35,15 @@ def chronology(a: Column, b: Column) -> Column:
 
 def bound(x: Column, upper: bool) -> Column:
     """First or last day that a year, month, day or time stands for; local date of a time; null if invalid."""
-    year = F.try_to_date(F.concat(x, F.lit("-12-31" if upper else "-01-01")))
-    month = F.try_to_date(F.concat(x, F.lit("-01")))
-    return F.when((F.length(x) == 4) & x.rlike("^[0-9]{4}$"), year).when((F.length(x) == 7) & x.rlike("^[0-9]{4}-[0-9]{2}$"), F.last_day(month) if upper else month).when(x.rlike(STAMP) & F.when(F.length(x) > 10, F.try_to_timestamp(F.regexp_replace(x, "(Z|[+-][0-9]{2}:?[0-9]{2})$", "")).isNotNull()).otherwise(True), F.try_to_date(F.substring(x, 1, 10)))
-
-
-def interval(anchor: Column) -> Column:
-    """struct<lo, hi> in days since 1970, or null where an anchor has no effective interval."""
-    start, end, precision = anchor["start"], anchor["end"], anchor["precision"]
-    lo = bound(start, False)
-    hi = F.when(end.isNotNull(), bound(end, True)).when(precision == "year", bound(F.substring(start, 1, 4), True)).when(precision == "month", bound(F.substring(start, 1, 7), True)).otherwise(bound(start, True))
-    usable = ~F.coalesce(anchor["is_proxy"], F.lit(False)) & ~precision.isin("relative", "unknown") & start.isNotNull() & lo.isNotNull() & hi.isNotNull() & (hi >= lo)
-    return F.when(usable, F.struct(F.unix_date(lo).alias("lo"), F.unix_date(hi).alias("hi")))
+    n = F.length(x)
+    day = F.try_to_date(F.concat(F.substring(x, 1, 10), F.when(n == 4, "-01-01").when(n == 7, "-01").otherwise("")))
+    clock_ok = (n <= 10) | F.try_to_timestamp(F.regexp_replace(x, "(Z|[+-][0-9]{2}:?[0-9]{2})$", "")).isNotNull()
+    valid = x.rlike(f"(?:^[0-9]{{4}}(?:-[0-9]{{2}})?$)|(?:{STAMP})") & clock_ok
+    if not upper:
+        return F.when(valid, day)
+    return F.when(valid, F.when(n > 7, day).otherwise(F.last_day(F.add_months(day, F.when(n == 4, 11).otherwise(0)))))
+
+
+def until(start: Column, end: Column, precision: Column) -> Column:
+    """The date whose last day ends an anchor: its end, or the year, month or day of its start."""
+    return F.when(end.isNotNull(), end).when(precision == "year", F.substring(start, 1, 4)).when(precision == "month", F.substring(start, 1, 7)).otherwise(start)

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATES = {"quarantine_rate": ("candidates_quarantined", "candidates_total"), "unresolved_entity_hypotheses_per_entity": ("unresolved_entity_hypotheses", "active_entities"), "missing_source_time_rate": ("missing_source_time_occurrences", "temporal_occurrences"), "m02_block_rate": ("m02_candidates_blocked", "m02_candidates_total"), "dan_review_rate": ("third_tier_review_items", "review_items")}
+#: Rates: metric -> (numerator, denominator).
+RATES = {
+    "quarantine_rate": ("candidates_quarantined", "candidates_total"),
+    "unresolved_entity_hypotheses_per_entity": ("unresolved_entity_hypotheses", "active_entities"),
+    "missing_source_time_rate": ("missing_source_time_occurrences", "temporal_occurrences"),
+    "third_tier_review_rate": ("third_tier_review_items", "review_items"),
+    "staging_block_rate": ("staging_candidates_blocked", "staging_candidates_total"),
+}
 
 
 def rate(a: Column, b: Column) -> Column:
@@ -29,6 +36,26 @@ def metrics(*counts: DataFrame) -> DataFrame:
     return x.unionByName(wide.select(F.explode(names).alias("r")).select("r.*").where("there").drop("there"))
 
 
+def report(stages: dict[str, DataFrame]) -> DataFrame:
+    """All 25 metrics of a run: 20 counts, each stage's in one pass, and 5 rates. stages: dispositions, entities, hypotheses, groups,
+    assertions, relations, occurrences, conflicts, cards, queue, eligibility, staged (relations)."""
+    yes, at = F.lit(True), F.col
+    return metrics(
+        count(stages["dispositions"], candidates_total=yes, candidates_accepted=at("accepted"), candidates_quarantined=~at("accepted")),
+        count(stages["entities"], active_entities=at("status") == "active"),
+        count(stages["hypotheses"], unresolved_entity_hypotheses=at("disposition") != "blocked"),
+        count(stages["groups"], semantic_groups=yes),
+        count(stages["assertions"], normalized_assertions=yes),
+        count(stages["relations"], compiled_relations=yes),
+        count(stages["occurrences"], temporal_occurrences=yes, missing_source_time_occurrences=F.size("source_times") == 0),
+        count(stages["conflicts"], conflicts=yes),
+        count(stages["cards"], synthesis_cards=yes),
+        count(stages["queue"], review_items=yes, first_tier_review_items=at("route") == 1, second_tier_review_items=at("route") == 2, third_tier_review_items=at("route") == 3),
+        count(stages["eligibility"], staging_candidates_total=yes, staging_candidates_eligible=at("eligibility") == "eligible", staging_candidates_blocked=at("eligibility") != "eligible"),
+        count(stages["staged"], staging_relations_eligible=yes),
+    )
+
+
 def findings(found: DataFrame, limits: dict[str, float | None]) -> DataFrame:
     """metric, observed, max_allowed where a limit is exceeded; equal passes."""
     spec = F.create_map(*(F.lit(v) for k, x in limits.items() if x is not None for v in (k, float(x)))) if any(x is not None for x in limits.values()) else F.create_map().cast("map<string,double>")

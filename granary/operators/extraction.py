@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import checks, identity
@@ -32,20 +32,26 @@ class SentenceRules:
         return x.select(identity.key_id("chunk_id", F.col("seq").cast("string")).alias("candidate_id"), "chunk_id", "source_id", "conversation_id", "speaker", "seq", "exact_text", F.element_at("w", 1).alias("subject"), F.element_at("w", 2).alias("predicate"), F.element_at("w", -1).alias("object"))
 
 
+def problems(chunks: DataFrame, out: DataFrame) -> DataFrame:
+    """code, ref: candidate ids that repeat, and evidence from outside the input."""
+    twice = checks.duplicates(out, "candidate_id", what="duplicate_candidate_id").select(F.col("what").alias("code"), F.col("key").alias("ref"))
+    return twice.unionByName(checks.unknown(out, "chunk_id", chunks, "chunk_id", "evidence_outside_input"))
+
+
 def compile(chunks: DataFrame, backend: Backend, strict: bool = True) -> DataFrame:
-    """The backend's candidates; strict: some input, distinct ids, and evidence only from the input."""
+    """The backend's candidates; strict: some input and no problems."""
     out = backend.extract(chunks)
     if strict:
         if chunks.isEmpty():
             raise checks.ContractError("no chunks")
-        checks.unique(out, "candidate_id", what="candidate ids")
-        checks.known(out, "chunk_id", chunks, "chunk_id", "evidence chunk")
+        checks.require_empty(problems(chunks, out), "extraction")
     return out
 
 
 def ordered(chunks: DataFrame) -> DataFrame:
-    """Order of conversation, time and id, for presentation."""
-    return chunks.orderBy("conversation_id", F.coalesce("occurred_at", F.lit("")), "chunk_id")
+    """chunk_id, conversation_id and the place in its conversation, by time, then id."""
+    by = Window.partitionBy("conversation_id").orderBy(F.coalesce("occurred_at", F.lit("")), "chunk_id")
+    return chunks.select("conversation_id", "chunk_id", F.row_number().over(by).alias("place"))
 
 
 def build(chunks: DataFrame, backend: Backend, version: str = "0.1.0") -> dict[str, str]:

@@ -38,13 +38,42 @@ def arguments(x: DataFrame, decisions: DataFrame, bound: DataFrame, aliases: Dat
     return y.select("candidate_id", "role", F.when(F.col("basis") == "literal", "literal").otherwise("entity").alias("kind"), value.alias("value"), "basis", note.alias("diagnostic"))
 
 
+def registry_aliases(entities: DataFrame, aliases: DataFrame) -> DataFrame:
+    """text, entity_id: canonical names, aliases and display forms of active entities, normalised. aliases: entity_id, normalized,
+    display_forms."""
+    live = entities.where("status = 'active'").select("entity_id", F.col("canonical_name").alias("t"))
+    forms = aliases.select("entity_id", F.explode(F.concat(F.array("normalized"), "display_forms")).alias("t")).join(live.select("entity_id"), "entity_id", "left_semi")
+    return live.unionByName(forms).select(text.semantic_text(F.col("t")).alias("text"), "entity_id").where("text <> ''").distinct()
+
+
+def decision_problems(decisions: DataFrame, entities: DataFrame, roots: DataFrame) -> DataFrame:
+    """code, ref: two decisions for one argument, and decisions for entities that are not active. decisions: candidate_id, role, entity_id."""
+    twice = checks.duplicates(decisions, "candidate_id", "role", what="argument_decided_twice").select(F.col("what").alias("code"), F.col("key").alias("ref"))
+    r = roots.select(F.col("source").alias("entity_id"), "root")
+    at = decisions.join(r, "entity_id", "left").select(F.coalesce("root", "entity_id").alias("entity_id"))
+    return twice.unionByName(checks.unknown(at, "entity_id", entities.where("status = 'active'"), "entity_id", "argument_inactive_entity"))
+
+
+def project(candidates: DataFrame, resolved: DataFrame, evidence: DataFrame) -> DataFrame:
+    """A signed assertion per candidate with its scores, effective anchor and sorted evidence ids; a repeated candidate is an error.
+    candidates: candidate_id, predicate, polarity, statement, epistemic_type, memory_class, the four scores, temporal (struct);
+    resolved: of arguments(); evidence: candidate_id, evidence_id."""
+    checks.unique(candidates, "candidate_id", what="candidates")
+    side = lambda role: resolved.where(F.col("role") == role).select("candidate_id", F.col("value").alias(role), F.col("kind").alias(f"{role}_kind"), F.col("basis").alias(f"{role}_basis"))
+    ids = evidence.groupBy("candidate_id").agg(F.sort_array(F.collect_set("evidence_id")).alias("evidence_ids"))
+    x = candidates.join(side("subject"), "candidate_id").join(side("object"), "candidate_id").join(ids, "candidate_id", "left")
+    x = x.withColumns({"assertion_id": F.col("candidate_id"), "evidence_ids": F.coalesce("evidence_ids", F.array().cast("array<string>"))})
+    return signed(x)
+
+
 def signed(assertions: DataFrame) -> DataFrame:
     return assertions.withColumn("signature_id", identity.key_id(*SIGNATURE))
 
 
-def groups(assertions: DataFrame, members: bool = True) -> DataFrame:
-    """A row per signature with the representative: highest origin, confidence, importance and durability, then least id.
-    Members stay in the assertions; members=True lists them as well."""
+def groups(assertions: DataFrame, members: bool = True, strict: bool = False) -> DataFrame:
+    """A row per signature (its group_id) with the representative: highest origin, confidence, importance and durability, then least id.
+    Members stay in the assertions; members=True lists them as well, strict=True refuses repeated ids."""
     best = F.min_by("assertion_id", F.struct(*(-F.col(c) for c in ("source_origin_probability", "extractor_confidence", "importance", "durability")), F.col("assertion_id")))
     listed = [F.sort_array(F.collect_list("assertion_id")).alias("assertion_ids")] if members else []
+    checks.unique(assertions, "assertion_id", what="assertions") if strict else None
     return assertions.groupBy("signature_id", *SIGNATURE).agg(F.count(F.lit(1)).alias("n"), best.alias("representative"), F.max(0.6 * F.col("importance") + 0.4 * F.col("durability")).alias("impact"), *listed)

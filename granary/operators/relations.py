@@ -28,7 +28,7 @@ def canonical(proposals: DataFrame) -> DataFrame:
 
 
 def compile(proposals: DataFrame, structural: DataFrame | None = None, groups: DataFrame | None = None, review: float = REVIEW) -> DataFrame:
-    """source_group_id, target_group_id, relation_type, score, proposers, disposition. proposals: source_group_id, target_group_id,
+    """relation_id, source_group_id, target_group_id, relation_type, score, proposers, disposition. proposals: source_group_id, target_group_id,
     relation_type, proposer, evidence_id, score (a row per piece of evidence). With groups, both ends must exist."""
     checks.require_empty(proposals.where("source_group_id = target_group_id"), "relation of a group with itself")
     if groups is not None:
@@ -42,4 +42,4 @@ def compile(proposals: DataFrame, structural: DataFrame | None = None, groups: D
     who = x.groupBy(*key).agg(F.sort_array(F.collect_set("proposer")).alias("proposers"))
     once = x.dropDuplicates([*key, "evidence_id"]).groupBy(*key).agg(fuse(F.collect_list(F.struct("evidence_id", "score"))).alias("score"), F.bool_or("structural").alias("structural"))
     shown = F.when(F.col("structural"), "structural").when(F.col("score") >= review, "review_required").otherwise("suggested")
-    return once.join(who, key).select(*key, "score", "proposers", shown.alias("disposition"))
+    return once.join(who, key).select(identity.key_id(F.lit("relation"), *key).alias("relation_id"), *key, "score", "proposers", shown.alias("disposition"))

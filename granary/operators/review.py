@@ -22,14 +22,66 @@ class Policy:
     high_centrality: int = 8
 
     def __post_init__(self):
-        if not all(0 <= x <= 1 for x in (self.second_tier_priority, self.third_tier_priority, self.third_tier_impact)) or self.high_centrality < 1:
-            raise ValueError("policy out of range")
+        checks.shares(self)
+        if self.high_centrality < 1:
+            raise ValueError("high_centrality counts propositions")
 
 
 def entity_impact(max_impact: Column, n_props: Column, policy: Policy = Policy()) -> Column:
     return clamp(0.55 * F.coalesce(max_impact, F.lit(0.0)) + 0.45 * F.least(F.lit(1.0), n_props / policy.high_centrality))
 
 
+def group_entities(groups: DataFrame) -> DataFrame:
+    """group_id, entity_id of entity arguments. groups: group_id, subject, subject_kind, object, object_kind."""
+    side = lambda r: groups.where(F.col(f"{r}_kind") == "entity").select("group_id", F.col(r).alias("entity_id"))
+    return side("subject").unionByName(side("object")).distinct()
+
+
+def pair_impact(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """source_ref, impact (the greater of its two groups'; 0 for unknown ones), group_ids. links: source_ref, left_group_id,
+    right_group_id; groups: group_id, impact."""
+    ends = links.select("source_ref", F.explode(F.array_distinct(F.array("left_group_id", "right_group_id"))).alias("group_id"))
+    x = ends.join(groups.select("group_id", "impact"), "group_id", "left").groupBy("source_ref")
+    return x.agg(F.coalesce(F.max("impact"), F.lit(0.0)).alias("impact"), F.sort_array(F.collect_set("group_id")).alias("group_ids"))
+
+
+def items(hypotheses: DataFrame, relations: DataFrame, supersessions: DataFrame, conflicts: DataFrame, notes: DataFrame, cards: DataFrame, groups: DataFrame, members: DataFrame, policy: Policy = Policy()) -> DataFrame:
+    """Signals of all six sources for queue(): kind, source_ref, score, impact, disposition, unknown, code, entity_ids, group_ids.
+    hypotheses: hypothesis_id, entity_id, score, disposition; relations, supersessions, conflicts: of K06 to K08 with ids; notes:
+    (code, ref, entity_id) of K09; cards: entity_id, max_impact, n_props, diagnostics; groups: group_id, impact, arguments;
+    members: assertion_id, group_id."""
+    no, none = F.lit(False), F.array().cast("array<string>")
+    by_entity = cards.select("entity_id", entity_impact(F.col("max_impact"), F.col("n_props"), policy).alias("impact"))
+    touched = group_entities(groups)
+
+    def of_entities(x: DataFrame) -> DataFrame:  # source_ref, entity_id, score, disposition, code
+        y = x.join(by_entity, "entity_id", "left").withColumns({"impact": F.coalesce("impact", F.lit(0.0)), "entity_ids": F.array_compact(F.array("entity_id"))})
+        return y.withColumns({"unknown": no, "group_ids": none})
+
+    def of_groups(x: DataFrame) -> DataFrame:  # source_ref, left_group_id, right_group_id, score, disposition, unknown
+        sized = pair_impact(x, groups)
+        who = sized.select("source_ref", F.explode("group_ids").alias("group_id")).join(touched, "group_id").groupBy("source_ref").agg(F.sort_array(F.collect_set("entity_id")).alias("entity_ids"))
+        y = x.join(sized, "source_ref").join(who, "source_ref", "left")
+        return y.withColumns({"entity_ids": F.coalesce("entity_ids", none), "code": F.lit(None).cast("string")})
+
+    at = lambda end, name: members.select(F.col("assertion_id").alias(end), F.col("group_id").alias(name))
+    s = supersessions.join(at("predecessor_id", "left_group_id"), "predecessor_id", "left").join(at("successor_id", "right_group_id"), "successor_id", "left")
+    parts = {
+        "entity_resolution": of_entities(hypotheses.select(F.col("hypothesis_id").alias("source_ref"), "entity_id", "score", "disposition", F.lit(None).cast("string").alias("code"))),
+        "relation": of_groups(relations.select(F.col("relation_id").alias("source_ref"), F.col("source_group_id").alias("left_group_id"), F.col("target_group_id").alias("right_group_id"), "score", "disposition", no.alias("unknown"))),
+        "supersession": of_groups(s.select(F.col("supersession_id").alias("source_ref"), "left_group_id", "right_group_id", "score", "disposition", (F.col("chronology") == "unknown").alias("unknown"))),
+        "conflict": of_groups(conflicts.select(F.col("conflict_id").alias("source_ref"), "left_group_id", "right_group_id", "score", "disposition", (F.col("effective_relation") == "unknown").alias("unknown"))),
+    }
+    seen = notes.select(F.concat_ws(":", "code", "ref").alias("source_ref"), "entity_id", F.lit(0.5).alias("score"), F.lit("diagnostic").alias("disposition"), F.lit(None).cast("string").alias("code"))
+    card = cards.select("entity_id", F.explode("diagnostics").alias("code")).select(F.concat_ws(":", "entity_id", "code").alias("source_ref"), "entity_id", F.lit(0.5).alias("score"), F.lit("diagnostic").alias("disposition"), "code")
+    columns = ["kind", "source_ref", "score", "impact", "disposition", "unknown", "code", "entity_ids", "group_ids"]
+    out = None
+    for kind, x in [*parts.items(), ("projection_diagnostic", of_entities(seen)), ("projection_diagnostic", of_entities(card))]:
+        x = x.withColumn("kind", F.lit(kind)).select(*columns)
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
 def ambiguity(kind: Column, score: Column, unknown: Column, code: Column) -> Column:
     open_ = clamp(1 - score)
     wider = clamp(open_ + F.when(F.coalesce(unknown, F.lit(False)) & kind.isin("supersession", "conflict"), 0.25).otherwise(0.0))

@@ -152,6 +152,58 @@ def corpus_plan(current: DataFrame, cached: DataFrame) -> DataFrame:
     return y.unionByName(g).withColumn("disposition", F.when(F.col("reason") == "exact_cache_hit", "reuse").otherwise("run"))
 
 
+def plan_table(current: DataFrame, cached: DataFrame, global_hash: str, config: dict[str, str] | None = None, version: str = "0.1.0") -> DataFrame:
+    """stage, partition, wave, disposition, reason, fingerprint of the corpus graph by fingerprints, as a table. current: partition,
+    input_hash; cached: stage, partition, fingerprint, output_hash, status. A local task's fingerprint takes the cached output of the
+    stage before; a global one's the cached outputs of all that it depends on, those of a local stage by one digest. It is null
+    where a dependency will run or has no output."""
+    checks.unique(current, "partition", what="conversations")
+    checks.unique(cached, "stage", "partition", what="cached tasks")
+    config, none = config or {}, Spec.config_hash
+
+    def task(x: DataFrame, st: str, wave: int, input_hash) -> DataFrame:
+        """x: partition, dirty, lost (a dependency runs; lacks an output), outputs (array)."""
+        own = cached.where(F.col("stage") == st).select("partition", F.col("fingerprint").alias("old"), "output_hash", "status")
+        print_ = identity.key_id(F.lit(st), "partition", F.lit(version), F.lit(f"{st}.v0"), F.lit(config.get(st, none)), input_hash, F.array_join(F.array_sort("outputs"), ","))
+        y = x.withColumn("fingerprint", F.when(~F.col("dirty") & ~F.col("lost"), print_)).join(own, "partition", "left")
+        reason = F.when(F.col("dirty"), "dependency_dirty").when(F.col("lost"), "dependency_cache_unavailable").when(F.col("status").isNull(), "no_cache").when(F.col("status") == "failed", "previous_failure").when(F.col("old") != F.col("fingerprint"), "fingerprint_changed").otherwise("exact_cache_hit")
+        return y.select(F.lit(st).alias("stage"), "partition", F.lit(wave).alias("wave"), reason.alias("reason"), "fingerprint", "output_hash")
+
+    done: dict[str, DataFrame] = {}
+    nothing = F.array().cast("array<string>")
+    x = current.select("partition", "input_hash", F.lit(False).alias("dirty"), F.lit(False).alias("lost"), nothing.alias("outputs"))
+    for i, st in enumerate(LOCAL):
+        done[st] = task(x, st, i, F.col("input_hash"))
+        runs = F.col("reason") != "exact_cache_hit"
+        x = done[st].join(current.select("partition", "input_hash"), "partition").select("partition", "input_hash", runs.alias("dirty"), (~runs & F.col("output_hash").isNull()).alias("lost"), F.array_compact(F.array("output_hash")).alias("outputs"))
+    # the global tasks are eight rows: planned on the driver from a summary of each local stage
+    facts: dict[str, tuple[bool, bool, str]] = {}  # stage -> it runs, it lacks an output, digest of its outputs
+    for st in {n for needs in GLOBAL.values() for n in needs if n in LOCAL}:
+        ran = F.col("reason") != "exact_cache_hit"
+        some = done[st].agg(F.coalesce(F.bool_or(ran), F.lit(False)), F.coalesce(F.bool_or(~ran & F.col("output_hash").isNull()), F.lit(False))).first()
+        facts[st] = (some[0], some[1], "" if some[0] else identity.table_hash(done[st].select("partition", "output_hash")).first()[0] or "")
+    old = {r["stage"]: r for r in cached.where("partition = 'global'").collect()}
+    depth, rows = {}, []
+    for st, needs in GLOBAL.items():
+        depth[st] = 1 + max(LOCAL.index(n) if n in LOCAL else depth[n] for n in needs)
+        entry, print_ = old.get(st), None
+        if any(facts[n][0] for n in needs):
+            reason = "dependency_dirty"
+        elif any(facts[n][1] for n in needs):
+            reason = "dependency_cache_unavailable"
+        else:
+            outputs = ",".join(sorted(f"{n}:{facts[n][2]}" for n in needs))
+            print_ = hashlib.sha256("|".join([st, "global", version, f"{st}.v0", config.get(st, none), global_hash, outputs]).encode()).hexdigest()
+            reason = "no_cache" if entry is None else "previous_failure" if entry["status"] == "failed" else "fingerprint_changed" if entry["fingerprint"] != print_ else "exact_cache_hit"
+        hit = reason == "exact_cache_hit"
+        facts[st] = (not hit, hit and entry["output_hash"] is None, (entry["output_hash"] or "") if hit else "")
+        rows.append((st, "global", depth[st], reason, print_))
+    out = current.sparkSession.createDataFrame(rows, "stage string, partition string, wave int, reason string, fingerprint string")
+    for t in done.values():
+        out = out.unionByName(t.drop("output_hash"))
+    return out.withColumn("disposition", F.when(F.col("reason") == "exact_cache_hit", "reuse").otherwise("run"))
+
+
 def fingerprints(tasks: DataFrame) -> DataFrame:
     """Adds fingerprint to stage, partition, version, contract, config_hash, input_hash, dependencies (outputs, array)."""
     return tasks.withColumn("fingerprint", identity.key_id("stage", "partition", "version", "contract", "config_hash", "input_hash", F.array_join(F.array_sort("dependencies"), ",")))

@@ -61,7 +61,7 @@ def eligibility(candidates: DataFrame, evidence: DataFrame, chunks: DataFrame, c
         (F.col("inexact").isNull() | (F.size("inexact") > 0), "blocked_source_exactness", F.coalesce("inexact", F.array().cast("array<string>"))),
         (F.size("wrong") > 0, "blocked_source_mode", F.transform("wrong", lambda t: F.concat(F.lit("unsupported_source_type:"), t))),
         (~F.col("temporal_basis").isin(list(capability.temporal_bases)), "blocked_temporal_contract", F.array(F.concat(F.lit("unsupported_temporal_basis:"), "temporal_basis"))),
-        (F.col("has_effective_time") & F.lit(not capability.preserves_effective_anchor), "blocked_temporal_contract", F.array(F.lit("semantic_effective_time_not_preserved_by_m02_backend"))),
+        (F.col("has_effective_time") & F.lit(not capability.preserves_effective_anchor), "blocked_temporal_contract", F.array(F.lit("backend_drops_effective_time"))),
     ]
     shown, reasons = F.lit("eligible"), F.array().cast("array<string>")
     for failed, name, text in reversed(gates):
@@ -84,6 +84,39 @@ def relations(links: DataFrame, members: DataFrame, eligible: DataFrame, accepte
     return out, x.where("code is not null").select("code", "source_ref").distinct()
 
 
+def accepted_refs(adjudications: DataFrame, items: DataFrame, strict: bool = True) -> DataFrame:
+    """source_ref, adjudication_id of accepted review items; of several the last by id. adjudications: review_item_id, disposition;
+    items: review_item_id, source_ref. strict: an adjudication of an unknown item is an error."""
+    if strict:
+        checks.known(adjudications, "review_item_id", items, "review_item_id", "adjudicated item")
+    x = adjudications.where("disposition = 'accepted'").join(items.select("review_item_id", "source_ref"), "review_item_id")
+    return x.groupBy("source_ref").agg(F.max(identity.key_id(F.lit("adjudication"), "review_item_id")).alias("adjudication_id"))
+
+
+def emissions(relations: DataFrame, supersessions: DataFrame, conflicts: DataFrame, members: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Links for relations(): source_ref, left_group_id, right_group_id, relation_type, structural. Relations all; supersessions that were
+    reviewable and accepted, as predecessor `supersedes` successor; accepted conflicts that overlap in time, as `contradicts`. members:
+    assertion_id, group_id; accepted: source_ref."""
+    ok = accepted.select("source_ref").distinct()
+    no = F.lit(False).alias("structural")
+    r = relations.select(F.col("relation_id").alias("source_ref"), F.col("source_group_id").alias("left_group_id"), F.col("target_group_id").alias("right_group_id"), "relation_type", (F.col("disposition") == "structural").alias("structural"))
+    at = lambda end, name: members.select(F.col("assertion_id").alias(end), F.col("group_id").alias(name))
+    s = supersessions.where(F.col("disposition").isin("suggested", "review_required")).join(at("predecessor_id", "left_group_id"), "predecessor_id").join(at("successor_id", "right_group_id"), "successor_id")
+    s = s.select(F.col("supersession_id").alias("source_ref"), "left_group_id", "right_group_id", F.lit("supersedes").alias("relation_type"), no).join(ok, "source_ref", "left_semi")
+    c = conflicts.where(~F.col("disposition").isin("temporally_disjoint", "change_over_time_candidate"))
+    c = c.select(F.col("conflict_id").alias("source_ref"), "left_group_id", "right_group_id", F.lit("contradicts").alias("relation_type"), no).join(ok, "source_ref", "left_semi")
+    return r.unionByName(s).unionByName(c)
+
+
+def records(candidates: DataFrame, eligible: DataFrame, links: DataFrame) -> DataFrame:
+    """Eligible candidates, all columns, with temporal_basis and `relations`: the distinct links that start at them, sorted. links: of
+    relations()."""
+    own = links.groupBy(F.col("source_candidate_id").alias("candidate_id")).agg(F.array_sort(F.collect_set(F.struct("target_candidate_id", "relation_type", "source_ref"))).alias("relations"))
+    x = candidates.join(eligible.where("eligibility = 'eligible'").select("candidate_id", "temporal_basis"), "candidate_id").join(own, "candidate_id", "left")
+    none = F.array().cast("array<struct<target_candidate_id:string,relation_type:string,source_ref:string>>")
+    return x.withColumn("relations", F.coalesce("relations", none))
+
+
 class ParquetStaging:
     """A backend that writes a pending bundle as Parquet with a manifest."""
 

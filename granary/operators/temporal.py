@@ -20,6 +20,21 @@ def occurrences(assertions: DataFrame, evidence: DataFrame, chunks: DataFrame) -
     return x.withColumns({"slot_id": identity.key_id(*SLOT), "clock": times.clock(F.col("source_times")), "diagnostics": notes}).drop("unknown_chunk")
 
 
+def group_problems(occ: DataFrame, groups: DataFrame) -> DataFrame:
+    """code, ref of assertions whose signature has no group."""
+    lost = occ.join(groups.select("signature_id"), "signature_id", "left_anti")
+    return lost.select(F.lit("assertion_without_group").alias("code"), F.col("assertion_id").alias("ref"))
+
+
+def grouped(occ: DataFrame, groups: DataFrame, strict: bool = True) -> DataFrame:
+    """occ with the group_id of its signature; strict: every assertion has one, and no id repeats."""
+    if strict:
+        checks.unique(occ, "assertion_id", what="assertions")
+        checks.unique(groups, "signature_id", what="group signatures")
+        checks.require_empty(group_problems(occ, groups), "occurrences")
+    return occ.join(groups.select("signature_id", F.col("signature_id").alias("group_id")), "signature_id")
+
+
 def slot_order(occ: DataFrame) -> DataFrame:
     """slot_id, assertion_id, position from 1: parsed times of one kind first, by least time; others by their strings."""
     good = F.col("clock.kind").isin("aware", "naive")
@@ -28,7 +43,7 @@ def slot_order(occ: DataFrame) -> DataFrame:
 
 
 def supersessions(proposals: DataFrame, occ: DataFrame, review: float = 0.80, strict: bool = True) -> DataFrame:
-    """predecessor_id, successor_id, chronology, score, disposition. proposals: predecessor_id, successor_id, proposer,
+    """supersession_id, predecessor_id, successor_id, chronology, score, disposition. proposals: predecessor_id, successor_id, proposer,
     evidence_id, score."""
     for end in ("predecessor_id", "successor_id"):
         checks.known(proposals, end, occ, "assertion_id", "supersession assertion")
@@ -39,4 +54,4 @@ def supersessions(proposals: DataFrame, occ: DataFrame, review: float = 0.80, st
     x = x.withColumn("chronology", times.chronology(F.col("p_clock"), F.col("s_clock")))
     ready = (F.col("score") >= review) & ((F.col("chronology") == "before") | F.lit(not strict))
     shown = F.when(F.col("p_sig") == F.col("s_sig"), "blocked_same_proposition").when(F.col("p_slot") != F.col("s_slot"), "blocked_slot_mismatch").when(F.col("chronology").isin("after", "same"), "blocked_chronology").when(ready, "review_required").otherwise("suggested")
-    return x.select(*key, "chronology", "score", shown.alias("disposition"))
+    return x.select(identity.key_id(F.lit("supersession"), *key).alias("supersession_id"), *key, "chronology", "score", shown.alias("disposition"))

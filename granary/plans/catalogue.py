@@ -189,7 +189,7 @@ SELECT 'm' || k AS mention_key_id, 'e' || (k % 50) AS entity_id, round({FUSE.rep
  CASE WHEN k % 50 = 7 THEN 'blocked' WHEN round({FUSE.replace("least(greatest(", "").removesuffix(", 0), 1)")}, 12) >= 0.8 THEN 'review_required' ELSE 'suggested' END AS disposition FROM f""")
 def k04_evidence_fusion(spark, d):
     li, k = T.read(spark, d, "lineitem"), F.col("l_partkey")
-    e = li.select(F.concat(F.lit("m"), k.cast("string")).alias("mention_key_id"), F.lit(None).cast("string").alias("key_type"), F.concat(F.lit("e"), (k % 50).cast("string")).alias("entity_id"), F.lit("part").alias("entity_type"), line_id().alias("evidence_id"), F.when(F.col("l_linenumber") % 4 == 0, -F.col("l_discount")).otherwise(F.col("l_discount") * 5).alias("score"))
+    e = li.select(F.concat(F.lit("m"), k.cast("string")).alias("mention_key_id"), F.lit(None).cast("string").alias("key_type"), F.concat(F.lit("e"), (k % 50).cast("string")).alias("entity_id"), F.lit("part").alias("entity_type"), line_id().alias("evidence_id"), F.when(F.col("l_linenumber") % 4 == 0, -F.col("l_discount")).otherwise(F.col("l_discount") * 5).alias("score")).distinct()
     bound = e.select("mention_key_id").distinct().withColumn("bound_id", F.lit("e0x"))
     apart = spark.createDataFrame([("e0x", "e7")], "left_entity_id string, right_entity_id string")
     h = resolution.hypotheses(e, bound, apart)
@@ -303,7 +303,7 @@ def k07_chronology(spark, d):
 @query(f"WITH {PAIRS} SELECT predecessor_id, successor_id, chronology, CASE WHEN ps = ss THEN 'blocked_same_proposition' WHEN pl <> sl THEN 'blocked_slot_mismatch' WHEN chronology IN ('after', 'same') THEN 'blocked_chronology' WHEN score >= 0.8 AND chronology = 'before' THEN 'review_required' ELSE 'suggested' END AS disposition FROM cmp")
 def k07_supersession_gate(spark, d):
     # 0.8 is scored as 1 - (1 - 0.8), a little below: the threshold is met as the fold rounds, so the query asks from 0.79
-    return temporal.supersessions(_pairs(spark, d), _occurrences(spark, d), review=0.79).drop("score")
+    return temporal.supersessions(_pairs(spark, d), _occurrences(spark, d), review=0.79).drop("score", "supersession_id")
 
 
 # ---- K08 ----
@@ -351,7 +351,7 @@ def k08_conflicts(spark, d):
     polar = F.col("l_linenumber") % 2 == 0
     r = li.select(g("l_partkey", 210).alias("source_group_id"), g("l_suppkey", 97).alias("target_group_id"), F.when(polar, "polarity_opposes").otherwise("contradicts").alias("relation_type"), F.when(polar, 0.6).otherwise(0.9).alias("score")).where("source_group_id <> target_group_id").distinct()
     changed = r.select(F.least("source_group_id", "target_group_id").alias("left_group_id"), F.greatest("source_group_id", "target_group_id").alias("right_group_id")).where("left_group_id = 'g1'")
-    return conflicts.conflicts(r, _anchors(spark, d).select("group_id", "lo", "hi"), changed)
+    return conflicts.conflicts(r, _anchors(spark, d).select("group_id", "lo", "hi"), changed).drop("relation_ids", "supersession_ids")
 
 
 # ---- K09 ----
@@ -382,9 +382,9 @@ def k09_cards(spark, d):
     return _cards(spark, d).select("entity_id", "n_props", "n_occ", "roles", "latest_count", nine("max_impact").alias("max_impact"), "diagnostic")
 
 
-@query("SELECT 'relation_unknown_group' AS code, CAST(c_custkey AS VARCHAR) AS ref FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT 'relation_unknown_group' AS code, CAST(c_custkey AS VARCHAR) AS ref FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 4 = 0)")
 def k09_orphans(spark, d):
-    return synthesis.orphans(T.read(spark, d, "customer").select(F.col("c_custkey").alias("ref")), T.read(spark, d, "orders").select(F.col("o_custkey").alias("id")), "relation_unknown_group")
+    return checks.unknown(T.read(spark, d, "customer"), "c_custkey", T.read(spark, d, "orders").where("o_orderkey % 4 = 0"), "o_custkey", "relation_unknown_group")
 
 
 # ---- K10 ----
@@ -421,7 +421,7 @@ def k10_adjudication(spark, d):
 
 # ---- K11 ----
 ELIGIBLE = CANDIDATES + """, el AS (SELECT candidate_id, r, CASE WHEN origin < 0.5 THEN 'blocked_validation' WHEN r = 10 THEN 'blocked_validation' WHEN r IN (0, 4, 5) THEN 'blocked_source_exactness' WHEN r = 2 THEN 'blocked_source_mode' WHEN occurred_at IS NULL THEN 'blocked_temporal_contract' WHEN r = 7 THEN 'blocked_temporal_contract' ELSE 'eligible' END AS eligibility,
- CASE WHEN origin < 0.5 THEN 'k02_not_accepted' WHEN r = 10 THEN 'missing_k05_normalized_assertion' WHEN r = 0 THEN 'evidence_text_not_in_chunk' WHEN r = 4 THEN 'evidence_chunk_missing' WHEN r = 5 THEN 'evidence_without_chunk' WHEN r = 2 THEN 'unsupported_source_type:note' WHEN occurred_at IS NULL THEN 'unsupported_temporal_basis:unknown' WHEN r = 7 THEN 'semantic_effective_time_not_preserved_by_m02_backend' ELSE '' END AS reasons FROM cand)"""
+ CASE WHEN origin < 0.5 THEN 'k02_not_accepted' WHEN r = 10 THEN 'missing_k05_normalized_assertion' WHEN r = 0 THEN 'evidence_text_not_in_chunk' WHEN r = 4 THEN 'evidence_chunk_missing' WHEN r = 5 THEN 'evidence_without_chunk' WHEN r = 2 THEN 'unsupported_source_type:note' WHEN occurred_at IS NULL THEN 'unsupported_temporal_basis:unknown' WHEN r = 7 THEN 'backend_drops_effective_time' ELSE '' END AS reasons FROM cand)"""
 
 
 def _eligibility(spark, d):
@@ -472,27 +472,25 @@ def k12_task_fingerprint(spark, d):
 
 
 def _metrics(spark, d):
-    disp = QUERIES["k02_disposition"](spark, d)
-    occ = _occurrences(spark, d)
-    q = review.queue(_signals(spark, d))
-    el = _eligibility(spark, d)
-    a, yes = F.col("accepted"), F.lit(True)
-    return audit.metrics(
-        audit.count(disp, candidates_total=yes, candidates_accepted=a, candidates_quarantined=~a),
-        audit.count(normalization.groups(T.assertions(spark, d), members=False), semantic_groups=yes),
-        audit.count(occ, temporal_occurrences=yes, missing_source_time_occurrences=F.size("source_times") == 0),
-        audit.count(_cards(spark, d), synthesis_cards=yes),
-        audit.count(q, review_items=yes, first_tier_review_items=F.col("route") == 1, second_tier_review_items=F.col("route") == 2, third_tier_review_items=F.col("route") == 3),
-        audit.count(el, m02_candidates_total=yes, m02_candidates_eligible=F.col("eligibility") == "eligible", m02_candidates_blocked=F.col("eligibility") != "eligible"),
-    )
-
-
-M = f"""WITH {DIAGNOSTICS}, {ELIGIBLE.removeprefix(CANDIDATES + ", ")}, {CARDS}, {QUEUE}, c AS (
+    a = T.assertions(spark, d)
+    i, k = F.col("event_id"), F.col("l_orderkey")
+    e = T.read(spark, d, "customer").select(F.when(F.col("c_custkey") % 9 == 0, "redirected").otherwise("active").alias("status"))
+    h = T.read(spark, d, "events").select(F.when(i % 3 == 0, "blocked").otherwise("suggested").alias("disposition"))
+    return audit.report({
+        "dispositions": QUERIES["k02_disposition"](spark, d), "entities": e, "hypotheses": h, "groups": normalization.groups(a, members=False), "assertions": a, "relations": relations.compile(_proposals(spark, d)),
+        "occurrences": _occurrences(spark, d), "conflicts": T.read(spark, d, "nation"), "cards": _cards(spark, d), "queue": review.queue(_signals(spark, d)), "eligibility": _eligibility(spark, d), "staged": QUERIES["k11_relations"](spark, d),
+    })
+
+
+STAGED = """st AS (SELECT source_ref FROM (SELECT x.c AS p, y.c AS q, source_ref FROM (SELECT 'l' || i AS source_ref, signature_id AS l, lag(signature_id) OVER (PARTITION BY subject ORDER BY i) AS r, i FROM a) JOIN (SELECT signature_id, min(assertion_id) AS c, count(*) AS k FROM a WHERE i % 3 <> 0 GROUP BY ALL) x ON x.signature_id = l AND x.k = 1 JOIN (SELECT signature_id, min(assertion_id) AS c, count(*) AS k FROM a WHERE i % 3 <> 0 GROUP BY ALL) y ON y.signature_id = r AND y.k = 1 WHERE i % 4 <> 2 AND i % 7 <> 0 AND i % 5 <> 0 AND x.c <> y.c))"""
+M = f"""WITH {DIAGNOSTICS}, {ELIGIBLE.removeprefix(CANDIDATES + ", ")}, {CARDS}, {QUEUE.replace("s AS (SELECT event_id", "sg AS (SELECT event_id", 1).replace("severity FROM s)", "severity FROM sg)")}, {RELATIONS.replace("q AS (SELECT CASE", "cq AS (SELECT CASE", 1).replace("FROM q GROUP BY", "FROM cq GROUP BY")}, {STAGED}, c AS (
  SELECT 'candidates_total' AS metric, count(*)::DOUBLE AS value FROM disp UNION ALL SELECT 'candidates_accepted', count(*) FILTER (accepted) FROM disp UNION ALL SELECT 'candidates_quarantined', count(*) FILTER (NOT accepted) FROM disp
+ UNION ALL SELECT 'active_entities', count(*) FILTER (c_custkey % 9 <> 0) FROM customer UNION ALL SELECT 'unresolved_entity_hypotheses', count(*) FILTER (event_id % 3 <> 0) FROM events UNION ALL SELECT 'normalized_assertions', count(*) FROM a UNION ALL SELECT 'compiled_relations', count(*) FROM rel UNION ALL SELECT 'conflicts', count(*) FROM nation
  UNION ALL SELECT 'semantic_groups', count(*) FROM g UNION ALL SELECT 'temporal_occurrences', count(*) FROM a UNION ALL SELECT 'missing_source_time_occurrences', count(*) FILTER (occurred_at IS NULL) FROM a UNION ALL SELECT 'synthesis_cards', count(*) FROM cards
  UNION ALL SELECT 'review_items', count(*) FROM q UNION ALL SELECT 'first_tier_review_items', count(*) FILTER (route = 1) FROM q UNION ALL SELECT 'second_tier_review_items', count(*) FILTER (route = 2) FROM q UNION ALL SELECT 'third_tier_review_items', count(*) FILTER (route = 3) FROM q
- UNION ALL SELECT 'm02_candidates_total', count(*) FROM el UNION ALL SELECT 'm02_candidates_eligible', count(*) FILTER (eligibility = 'eligible') FROM el UNION ALL SELECT 'm02_candidates_blocked', count(*) FILTER (eligibility <> 'eligible') FROM el),
-rates AS (SELECT 'quarantine_rate' AS metric, 'candidates_quarantined' AS x, 'candidates_total' AS y UNION ALL SELECT 'missing_source_time_rate', 'missing_source_time_occurrences', 'temporal_occurrences' UNION ALL SELECT 'm02_block_rate', 'm02_candidates_blocked', 'm02_candidates_total' UNION ALL SELECT 'dan_review_rate', 'third_tier_review_items', 'review_items'),
+ UNION ALL SELECT 'staging_relations_eligible', count(*) FROM st
+ UNION ALL SELECT 'staging_candidates_total', count(*) FROM el UNION ALL SELECT 'staging_candidates_eligible', count(*) FILTER (eligibility = 'eligible') FROM el UNION ALL SELECT 'staging_candidates_blocked', count(*) FILTER (eligibility <> 'eligible') FROM el),
+rates AS (SELECT 'quarantine_rate' AS metric, 'candidates_quarantined' AS x, 'candidates_total' AS y UNION ALL SELECT 'unresolved_entity_hypotheses_per_entity', 'unresolved_entity_hypotheses', 'active_entities' UNION ALL SELECT 'missing_source_time_rate', 'missing_source_time_occurrences', 'temporal_occurrences' UNION ALL SELECT 'staging_block_rate', 'staging_candidates_blocked', 'staging_candidates_total' UNION ALL SELECT 'third_tier_review_rate', 'third_tier_review_items', 'review_items'),
 m AS (SELECT metric, value FROM c UNION ALL SELECT r.metric, CASE WHEN b.value = 0 THEN 0 ELSE a.value / b.value END FROM rates r JOIN c a ON a.metric = x JOIN c b ON b.metric = y)"""
 
 
@@ -501,7 +499,7 @@ def k13_metrics(spark, d):
     return _metrics(spark, d).select("metric", nine("value").alias("value"))
 
 
-@query(f"{M} SELECT metric, round(value, 9) AS observed, l AS max_allowed FROM m JOIN (VALUES ('quarantine_rate', 0.2::DOUBLE), ('missing_source_time_rate', 0.5), ('m02_block_rate', 0.1), ('dan_review_rate', 0.05)) v(n, l) ON n = metric WHERE value > l")
+@query(f"{M} SELECT metric, round(value, 9) AS observed, l AS max_allowed FROM m JOIN (VALUES ('quarantine_rate', 0.2::DOUBLE), ('missing_source_time_rate', 0.5), ('staging_block_rate', 0.1), ('third_tier_review_rate', 0.05)) v(n, l) ON n = metric WHERE value > l")
 def k13_findings(spark, d):
-    limits = {"quarantine_rate": 0.2, "missing_source_time_rate": 0.5, "m02_block_rate": 0.1, "dan_review_rate": 0.05, "unresolved_entity_hypotheses_per_entity": None}
+    limits = {"quarantine_rate": 0.2, "missing_source_time_rate": 0.5, "staging_block_rate": 0.1, "third_tier_review_rate": 0.05, "unresolved_entity_hypotheses_per_entity": None}
     return audit.findings(_metrics(spark, d), limits).withColumn("observed", nine("observed"))

@@ -72,21 +72,54 @@ def test_fold_and_fusion(spark):
     with pytest.raises(checks.ContractError):
         resolution.closure(spark.createDataFrame([("A", "B"), ("B", "A")], "source_entity_id string, target_entity_id string")).count()
     with pytest.raises(ValueError):
-        resolution.Policy(review_threshold=2)
+        resolution.Policy(review_from=2.0)
 
 
 def test_hints_and_aliases(spark):
-    keys = spark.createDataFrame([("m", None, "ann")], "mention_key_id string, entity_type_hint string, hint string")
+    pairs = spark.createDataFrame([("m", "e")], "mention_key_id string, entity_id string")
+    hints = spark.createDataFrame([("m", "ann")], "mention_key_id string, hint string")
     names = spark.createDataFrame([("e", "person", "ann")], "entity_id string, entity_type string, name string")
-    ev = resolution.hint_evidence(keys, names)
+    ev = resolution.hint_evidence(pairs, hints, names).withColumns({"key_type": F.lit(None).cast("string"), "entity_type": F.lit("person")})
     bound = spark.createDataFrame([("m", "x")], "mention_key_id string, bound_id string")
     apart = spark.createDataFrame([], "left_entity_id string, right_entity_id string")
     assert [tuple(r) for r in resolution.hypotheses(ev, bound, apart).collect()] == [("m", "e", pytest.approx(0.9), "review_required")]
+    twice = resolution.hypotheses(ev.unionByName(ev), bound, apart).first()  # equal evidence counts twice
+    assert twice["score"] == pytest.approx(0.99)
     rows = spark.createDataFrame([("a", "n", "N", "k")], "entity_id string, normalized string, display_form string, mention_key_id string")
     roots = spark.createDataFrame([("a", "r")], "source string, root string")
     assert resolution.alias_table(rows, rows, roots).first()[0] == "r"
 
 
+def test_resolve_with_names(spark):
+    keys = spark.createDataFrame([("m", "jon smith", "PERSON", ["John Smith"]), ("k", "zzz", None, [])], "mention_key_id string, normalized_text string, entity_type_hint string, canonical_hints array<string>")
+    entities = spark.createDataFrame([("e", "person", "John Smith", "active"), ("f", "place", "Jon Smith", "active"), ("g", "person", "Jon Smith", "redirected")], "entity_id string, entity_type string, canonical_name string, status string")
+    aliases = spark.createDataFrame([("e", "jon smith")], "entity_id string, normalized string")
+    bound = spark.createDataFrame([("m", "x"), ("k", "y")], "mention_key_id string, entity_id string")
+    none = spark.createDataFrame([], "mention_key_id string, entity_id string, evidence_id string, score double")
+    got = [tuple(r) for r in resolution.resolve(keys, bound, entities, aliases, none, resolution.Registry()).collect()]
+    assert got == [("m", "e", pytest.approx(1.0), "review_required")]  # the hint, and the alias word for word; f is of another type
+    wrong = spark.createDataFrame([("m", "g", "p", 0.5)], none.schema)
+    with pytest.raises(checks.ContractError):
+        resolution.resolve(keys, bound, entities, aliases, wrong, resolution.Registry())
+
+
+def test_registry_guards(spark):
+    keys = spark.createDataFrame([("m", "t", "person")], "mention_key_id string, normalized_text string, entity_type_hint string")
+    entities = spark.createDataFrame([("e", "place", "active")], "entity_id string, entity_type string, status string")
+    link = spark.createDataFrame([("m", "e")], "mention_key_id string, entity_id string")
+    roots = spark.createDataFrame([], "source string, root string")
+    none, no_alias = link.where("false"), spark.createDataFrame([], "alias string, entity_id string, entity_type string")
+    with pytest.raises(checks.ContractError):
+        resolution.bindings(keys, none, link, no_alias, roots=roots, entities=entities)
+    a = spark.createDataFrame([("a", "s")], "assertion_id string, signature_id string")
+    with pytest.raises(checks.ContractError):
+        temporal.grouped(a, a.where("false"))
+    with pytest.raises(checks.ContractError):
+        synthesis.group_map(spark.createDataFrame([("g", ["a"]), ("h", ["a"])], "group_id string, assertion_ids array<string>"))
+    with pytest.raises(checks.ContractError):
+        staging.accepted_refs(spark.createDataFrame([("x", "accepted")], "review_item_id string, disposition string"), spark.createDataFrame([], "review_item_id string, source_ref string"))
+
+
 def test_clocks_against_plain(spark):
     pool = ["2024-01-01", "2024-01-01T00:00:00", "2024-01-02T05:00:00", "2024-01-02T05:00:00Z", "2024-01-02T07:00:00+02:00", "x", "2024-02-30"]
     from datetime import datetime, timezone
@@ -147,7 +180,7 @@ def test_relations_errors(spark):
         relations.compile(bad)
     a = bad.withColumn("target_group_id", F.lit("a")).withColumn("relation_type", F.lit("contradicts"))
     both = a.unionByName(a.select(F.col("target_group_id").alias("source_group_id"), F.col("source_group_id").alias("target_group_id"), "relation_type", "proposer", "evidence_id", "score"))
-    assert [tuple(r)[:4] for r in relations.compile(both).collect()] == [("a", "g", "contradicts", 0.5)]
+    assert [tuple(r)[1:5] for r in relations.compile(both).collect()] == [("a", "g", "contradicts", 0.5)]
     with pytest.raises(checks.ContractError):
         relations.compile(both, groups=spark.createDataFrame([("a",)], "signature_id string"))
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from granary.plans import catalogue
+from granary.plans import catalogue, records  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
