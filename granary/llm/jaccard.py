@@ -29,7 +29,8 @@ from .common import Scratch, components, mix, own, raw, shingle_hashes, slices,
 
 SMALL = 64  # shingles of a set that has a segment for each
 EQUAL, NEED = 24, 3
-BLOCK = 384
+BLOCK = 384  # classes of a block
+BLOCK_SHINGLES = 1 << 20  # and their shingles, about seven megabytes of text; one longer text is a block of its own size
 SETS = "doc_id long, n_shingles int, d1 long, d2 long, keys array<long>"
 
 
@@ -173,10 +174,10 @@ def link(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     x = scratch.put(docs.mapInArrow(_sets, SETS))
     family = families(x, scratch)
-    classes = scratch.put(x.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")))
-    members = classes.join(family, classes["d1"] == family["node"]).select("rep", "size", F.col("root").alias("gid"))
-    groups = members.groupBy("gid").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
-    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    classes = scratch.put(x.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.max("n_shingles").cast("long").alias("n")))
+    members = classes.join(family, classes["d1"] == family["node"]).select("rep", "size", "n", F.col("root").alias("gid"))
+    groups = members.groupBy("gid").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("all")).where("g > 1")
+    blocks = F.greatest(F.ceil(F.col("g") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
     members = scratch.put(members.join(groups, "gid").select("rep", "size", "gid", blocks.alias("nb"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("blk")))
     texts = docs.join(members.hint("merge"), docs["doc_id"] == members["rep"]).select("rep", "size", "gid", "blk", "text", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
     pairs = texts.select("rep", "size", "gid", "blk", "text", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"))

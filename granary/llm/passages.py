@@ -116,7 +116,7 @@ def _backed(least: int, need: int):
         for b in batches:
             ids, kept = [], []
             for i, at in zip(b.column("doc_id").to_pylist(), b.column("at")):
-                pos = np.sort(at.values.to_numpy() if len(at) else np.zeros(0, np.int64))
+                pos = np.unique(at.values.to_numpy() if len(at) else np.zeros(0, np.int64))
                 kind, c = (pos >> 60) & 3, (pos >> 32) & ((1 << 28) - 1)
                 near = np.zeros(len(pos), np.int64)
                 for k in range(4):
@@ -295,7 +295,7 @@ def repeats(docs: DataFrame, words: int = LEAST, hashes: int = 4, need: int = 2,
     within = found.where("first_doc_id < doc_id").select(F.col("doc_id").alias("d"), F.col("start_word").alias("s"), (F.col("end_word") - WORDS).alias("e")).distinct()
     open_ = scratch.put(rows.join(within.hint("merge"), (F.col("doc_id") == F.col("d")) & (F.col("low") >= F.col("s")) & (F.col("high") <= F.col("e")), "left_anti").select("doc_id", "pos", "first_id", "first_pos"))
     members = shared.join(open_.select("first_id", "first_pos").distinct().hint("merge"), ["first_id", "first_pos"], "left_semi").select("doc_id", "pos")
-    at = members.unionByName(open_.select("doc_id", F.col("pos").bitwiseOR(F.lit(OPEN)).alias("pos"))).groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    at = members.unionByName(open_.select("doc_id", F.col("pos").bitwiseOR(F.lit(OPEN)).alias("pos"))).groupBy("doc_id").agg(F.collect_list("pos").alias("at"))
     at = scratch.put(at.mapInArrow(_backed(least, need), "doc_id long, at array<long>"))
     scratch.drop(shared)
     scratch.free_shuffles()
