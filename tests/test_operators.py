@@ -236,7 +236,9 @@ def test_compiler_and_delta(spark, tmp_path):
     out = compiler.run(spark, chunks, str(tmp_path))
     assert out["assertions"].count() == out["dispositions"].where("accepted").count()
     assert out["groups"].agg(F.sum("n")).first()[0] == out["assertions"].count()
-    assert out["cards"].count() == out["bindings"].select("entity_id").distinct().count()
+    assert out["cards"].count() == out["bindings"].select("entity_id").distinct().count() == out["entities"].count()
+    assert set(out) == set(compiler.STAGES) and out["metrics"].count() == 25 and out["builds"].where("output_hash is null").count() <= 4  # empty tables have none
+    assert out["records"].count() == out["eligibility"].where("eligibility = 'eligible'").count() > 0
     cached = delta.conversation_hashes(chunks).withColumn("status", F.lit("complete"))
     assert delta.changed(chunks, cached).count() == 0
     more = chunks.withColumn("text", F.when(F.col("conversation_id") == "c0", "new").otherwise(F.col("text")))
@@ -248,6 +250,31 @@ def test_compiler_and_delta(spark, tmp_path):
     assert sum(seen) == chunks.count()
 
 
+def test_compiler_takes_proposals_and_decisions(spark, tmp_path):
+    """A second run over the first one's registry, with proposals of every kind and answers to them."""
+    chunks = tables.chunks(spark, DIR).limit(40).cache()
+    first = compiler.run(spark, chunks, f"{tmp_path}/a")
+    prior = {k: first[k] for k in ("bindings", "entities", "aliases")}
+    prior["bindings"] = prior["bindings"].select("mention_key_id", "entity_id")
+    ids = sorted(r[0] for r in first["entities"].select("entity_id").collect())
+    key = first["bindings"].where(F.col("entity_id") == ids[2]).first()["mention_key_id"]
+    log = [{"decision_id": "d1", "action": "merge_entity", "subject_id": ids[0], "object_id": ids[1]}, {"decision_id": "d2", "action": "set_canonical_name", "subject_id": ids[1], "canonical_name": "One"}]
+    inputs = {"proposals": spark.createDataFrame([(key, ids[3], "p", 0.9)], compiler.EMPTY["proposals"])}
+    groups = [r[0] for r in first["groups"].select("group_id").collect()][:2]
+    inputs["relation_proposals"] = spark.createDataFrame([(groups[0], groups[1], "supports", "x", "e", 0.95)], compiler.EMPTY["relation_proposals"])
+    out = compiler.run(spark, chunks, f"{tmp_path}/b", prior=prior, decisions=log, inputs={"proposals": inputs["proposals"]})
+    assert {r["basis"] for r in out["bindings"].select("basis").distinct().collect()} == {"existing", "merged_entity"}
+    e = {r["entity_id"]: (r["status"], r["canonical_name"]) for r in out["entities"].collect()}
+    assert e[ids[0]][0] == "redirected" and e[ids[1]] == ("active", "One") and len(e) == len(ids)
+    assert out["hypotheses"].where(F.col("mention_key_id") == key).where(F.col("entity_id") == ids[3]).count() == 1
+    item = out["queue"].where("kind = 'entity_resolution'").first()
+    answers = spark.createDataFrame([(item["review_item_id"], "r1", 3, "accept")], compiler.EMPTY["responses"])
+    again = compiler.run(spark, chunks, f"{tmp_path}/c", inputs={"relation_proposals": inputs["relation_proposals"]})
+    assert again["relations"].where("relation_type = 'supports'").first()["disposition"] == "review_required" and again["queue"].where("kind = 'relation'").count() == 1
+    done = compiler.run(spark, chunks, f"{tmp_path}/d", prior=prior, decisions=log, inputs={"proposals": inputs["proposals"], "responses": answers})
+    assert done["adjudications"].where("disposition = 'accepted'").count() == 1
+
+
 def test_ontology(spark):
     x = spark.createDataFrame([("likes",), ("does not like",)], "raw string")
     dim = spark.createDataFrame([("likes", "like")], "alias string, canonical string")
