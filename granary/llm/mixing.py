@@ -152,6 +152,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, total
         both = off[0]
         for o in off[1:]:
             both = both.unionByName(o)
+        scratch.free_shuffles()  # and the broadcasts of the sweeps done, which the driver holds
         last, gap = gap, (both.agg(F.max("gap")).first()[0] or 0.0) / max(1.0, fraction * total)
         relax = relax if gap < last else 1.0
         if gap <= tolerance:
