@@ -13,7 +13,7 @@ is. A document stays if the hash of its id, text and `seed` falls below p: expec
 sample differ by chance.
 
 Only words and cells are shuffled, after a map-side sum, so a hot source costs one row per task. Cells are iterated as tables, never on the
-driver, which sees one convergence figure per sweep and the anchors. Words are `[^\\x20\\x09-\\x0D]+`; a text in a script without
+driver, which sees seven figures per second sweep and the anchors. Words are `[^\\x20\\x09-\\x0D]+`; a text in a script without
 spaces weighs as its blank-separated pieces.
 
 Null text: no words; the text weighs 1 for its cell, as any text without words. Null source or language: a value of its own (`?`).
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,37 +127,63 @@ def wanted(cells: DataFrame, shares: dict[str, DataFrame | None], alpha: float,
     return {d: x.select("value", (F.col("share") * fraction * total).alias("want")) for d, x in rest.items()}, fraction
 
 
+HISTORY = 2  # earlier sweeps that an extrapolation draws on
+
+
+def _gap(x: DataFrame, targets: dict[str, DataFrame], part: Column) -> float:
+    """Words by which the worst marginal is off; one aggregation of all dimensions."""
+    each = F.explode(F.array(*(F.struct(F.lit(d).alias("d"), F.col(d).alias("value"), F.col(f"t_{d}").alias("t")) for d in targets))).alias("r")
+    sums = x.select(each, part.alias("part")).groupBy("r.d", "r.value").agg(F.sum("part").alias("have"), F.max("r.t").alias("t"))
+    return sums.agg(F.max(F.abs(F.col("have") - F.coalesce("t", "have")))).first()[0] or 0.0
+
+
+def _extrapolated(x: DataFrame) -> DataFrame:
+    """x with m moved on by Anderson's rule: the last sweeps' results in logarithms, combined so that the changes of those sweeps, weighted
+    by words, cancel as far as they can. A product of multipliers stays one. The driver gets the changes' products, six numbers."""
+    known = lambda c: F.coalesce(c, F.lit(0.0))
+    steps = [known(F.col("f") - F.col(f"f{k + 1}")) for k in range(HISTORY)]
+    sums = [F.sum(F.col("tokens") * u * v).alias(f"s{i}_{j}") for i, u in enumerate(steps) for j, v in enumerate([*steps, known(F.col("f"))])]
+    dots = np.array([v or 0.0 for v in x.agg(*sums).first()]).reshape(HISTORY, HISTORY + 1)
+    parts = np.linalg.lstsq(dots[:, :-1], dots[:, -1], rcond=1e-12)[0]
+    back = F.lit(0.0)
+    for k, c in enumerate(parts.tolist()):
+        back = back + F.lit(c) * known(F.col("g") - F.col(f"g{k + 1}"))
+    return x.withColumn("m", F.col("m") * F.exp(F.greatest(F.lit(-50.0), F.least(F.lit(50.0), -back))))
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, total: int, scratch: Scratch, sweeps: int = 200, tolerance: float = 1e-4) -> DataFrame:
-    """cells with p: the sample's expected words meet each target marginal."""
-    x = cells.withColumn("m", F.lit(float(fraction)))
+    """cells with p: the sample's expected words meet each target marginal. After every second sweep the gap is taken and, if it fell,
+    the multipliers are extrapolated; plain sweeps go on from there, so a bad guess costs sweeps only."""
+    past = [f"{c}{k}" for k in ("", *range(1, HISTORY + 1)) for c in "gf"]
+    x = cells.withColumn("m", F.lit(float(fraction))).withColumns({c: F.lit(None).cast("double") for c in past})
     for d, t in targets.items():
         x = x.join(t.select(F.col("value").alias(d), F.col("want").alias(f"t_{d}")), d, "left")
     x = scratch.put(x)
     part = F.least(F.lit(1.0), F.col("m")) * F.col("tokens")
-    gap, relax = math.inf, 1.0
+    gap = math.inf
     for n in range(sweeps):
-        y = x
+        y = x.withColumn("was", F.col("m"))
         for d in targets:
             # what cells at the cap give stays; the others are scaled to the rest
             have = y.groupBy(d).agg(F.sum(part).alias("have"), F.sum(F.when(F.col("m") >= 1, F.col("tokens")).otherwise(0)).alias("full"))
             t, free = F.col(f"t_{d}"), F.col("have") - F.col("full")
             by = F.when(t.isNull() | (F.col("have") <= 0), 1.0).when((t > F.col("full")) & (free > 0), (t - F.col("full")) / free).otherwise(t / F.col("have"))
-            y = y.join(have, d).withColumn("m", F.col("m") * F.pow(by, F.lit(relax))).drop("have", "full")
-        new = scratch.put(y)
+            y = y.join(have, d).withColumn("m", F.col("m") * by).drop("have", "full")
+        moved = (F.col("m") > 0) & (F.col("was") > 0)
+        now = [F.when(moved, F.ln("m")).alias("g"), F.when(moved, F.ln(F.col("m") / F.col("was"))).alias("f")]
+        new = scratch.put(y.select(*DIMS, "tokens", *(f"t_{d}" for d in targets), "m", *now, *(F.col(old).alias(c) for old, c in zip(past, past[2:]))))
         scratch.drop(x)
         x = new
-        relax = relax if n else 1.5  # over-relaxed steps: half the sweeps where dimensions depend on each other
-        if n % 3 != 2 and n + 1 < sweeps:
+        if n % 2 == 0 and n + 1 < sweeps:
             continue
-        off = [x.groupBy(d).agg(F.sum(part).alias("have"), F.first(f"t_{d}").alias("t")).select(F.max(F.abs(F.col("have") - F.coalesce("t", "have"))).alias("gap")) for d in targets]
-        both = off[0]
-        for o in off[1:]:
-            both = both.unionByName(o)
         scratch.free_shuffles()  # and the broadcasts of the sweeps done, which the driver holds
-        last, gap = gap, (both.agg(F.max("gap")).first()[0] or 0.0) / max(1.0, fraction * total)
-        relax = relax if gap < last else 1.0
+        last, gap = gap, _gap(x, targets, part) / max(1.0, fraction * total)
         if gap <= tolerance:
             break
+        if gap < last:
+            new = scratch.put(_extrapolated(x))
+            scratch.drop(x)
+            x = new
     else:
         raise NotConverged(f"after {sweeps} sweeps a marginal is still off by {gap:.2e} of the wanted words; the targets may contradict each other")
     return x.withColumn("p", F.least(F.lit(1.0), F.col("m"))).select(*DIMS, "tokens", "p")
