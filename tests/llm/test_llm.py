@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from granary.llm import jaccard, langid, leaks, lm, mixing, passages, pii, quality, queries, shards, tokens
+from granary.llm import common, jaccard, langid, leaks, lm, mixing, passages, pii, quality, queries, shards, tokens
 
 R = random.Random(4)
 WORDS = ["".join(R.choice(["er", "in", "th", "at", "on", "ou"]) for _ in range(R.randint(1, 4))) for _ in range(3000)]
@@ -417,3 +417,16 @@ def test_jaccard_common_line(spark):
     df = spark.createDataFrame([*enumerate(texts), (5000, texts[7] + " end")], "doc_id long, text string")
     got = by_id(jaccard.link(df))
     assert got[5000]["component_id"] == 7 and sum(r["component_id"] != i for i, r in got.items()) == 1
+
+
+def test_jaccard_common_line_makes_no_family(spark, monkeypatch):
+    """Texts go to a family's tasks; a line in common sends none, and blocks of a segment lose no link."""
+    line = prose(12)
+    texts = [prose(40 + 60 * (i % 2)) + " " + line + " " + prose(30) for i in range(600)]
+    df = spark.createDataFrame([*enumerate(texts), *((5000 + i, texts[i] + " end") for i in range(0, 60, 3))], "doc_id long, text string")
+    for most in (4096, 16):
+        monkeypatch.setattr(jaccard, "SIFT", most, raising=False)
+        scratch = common.Scratch(spark, "test")
+        assert jaccard.families(scratch.put(df.mapInArrow(jaccard._sets, jaccard.SETS)), scratch).count() == 40
+        got = by_id(jaccard.link(df))
+        assert {i: r["component_id"] for i, r in got.items() if r["component_id"] != i} == {5000 + i: i for i in range(0, 60, 3)}
