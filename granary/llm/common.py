@@ -42,10 +42,16 @@ class Scratch:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(t.scratch_path)
+
+    def clear(self) -> None:
+        """Frees all tables put here."""
+        self._delete(self.root)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def free_shuffles(self) -> None:
         """Lets Spark's cleaner remove the shuffle files of finished steps."""

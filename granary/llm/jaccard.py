@@ -256,7 +256,10 @@ def link(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """docs with one document of each component, the smallest doc_id, and one of its repeated rows. A null doc_id stays."""
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
-    found = scratch.put(link(docs, scratch).select("doc_id", "component_id"))
+    steps = Scratch(docs.sparkSession, "jaccard")
+    found = scratch.put(link(docs, steps).select("doc_id", "component_id"))
+    steps.clear()
+    scratch.free_shuffles()
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.max(F.col("doc_id") > F.col("component_id")).alias("drop")).where("doc_id is not null")
     kept = docs.join(again.where("drop").select("doc_id").hint("merge"), "doc_id", "left_anti").select(*own(docs))
     if again.where("k > 1").isEmpty():
