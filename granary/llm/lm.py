@@ -7,10 +7,9 @@ counts of the words of that class or, if never seen, spelt id by id, so every te
 blocks of eight ids; each overlapping window holds a block and the one before it, and scores the block's ids once, many
 windows a batch.
 
-Gathered from the whole training corpus: word counts (the base), and through them the counts of ids by words and tokens and the
-chance of new words. Gathered from a share of it that grows with it, `share` of the training documents and `sample` at least: the
-neighbours of ids, and the attention weights, by rounds in which groups of documents train from the same weights and are
-averaged. The base needs each word's count: the `hot` most frequent words (a
+All is gathered from the whole training corpus: word counts (the base), and through them the counts of ids by words and tokens and the
+chance of new words; the neighbours of ids; and the attention weights, by rounds in which groups of documents train from the
+same weights and are averaged, so that each window is trained on, once in a large corpus. The base needs each word's count: the `hot` most frequent words (a
 fixed bound) go to the tasks; the others, a small share of the words, are joined by word and summed per document.
 
 Null or wordless text: only the end. Null doc_id: in training, not held out. Repeated rows: counted and scored alike. Very long
@@ -20,6 +19,7 @@ texts: whole, in blocks. Empty table: no rows. No training row: N = 0, V = 0, un
 from __future__ import annotations
 
 import base64
+import functools
 from array import array
 
 import numpy as np
@@ -57,6 +57,12 @@ class Vocabulary:
         return self.encoding.encode_ordinary(" " + word.decode("utf-8", "replace"))
 
 
+@functools.cache
+def vocabulary_of(name: str) -> Vocabulary:
+    """One a process, whatever groups and rounds it serves."""
+    return Vocabulary(name)
+
+
 class Attention:
     """One head of width d over embeddings of slots; the last position's embedding is added to what it attends to."""
 
@@ -71,39 +77,45 @@ class Attention:
         """s: (windows, 15) slots. Logits of the classes of the block's eight ids, and what backward needs."""
         p, scale = self.p, np.float32(self.p["q"].shape[1] ** -0.5)
         e = p["emb"][s]
-        q, k, v = e[:, BLOCK - 1 :] @ p["q"], e @ p["k"], e @ p["v"]
-        a = (q @ k.transpose(0, 2, 1)) * scale
+        d = p["q"].shape[0]
+        kv = (e.reshape(-1, d) @ np.concatenate([p["k"], p["v"]], 1)).reshape(*s.shape, 2 * d)
+        q, k, v = (e[:, BLOCK - 1 :].reshape(-1, d) @ (p["q"] * scale)).reshape(-1, BLOCK, d), kv[..., :d], kv[..., d:]
+        a = q @ k.transpose(0, 2, 1)
         a += np.where(self.mask, p["rel"][self.back], np.float32(-1e9))
-        np.exp(np.minimum(a, 60), out=a)
-        a /= a.sum(2, keepdims=True)
+        np.exp(np.minimum(a, 60, out=a), out=a)
+        a /= a @ np.ones((a.shape[2], 1), np.float32)
         z = np.concatenate([a @ v, e[:, BLOCK - 1 :]], 2)
-        return z @ p["out"] + p["b"], (e, q, k, v, a, z)
+        logits = (z.reshape(-1, 2 * d) @ p["out"]).reshape(*z.shape[:2], -1)
+        logits += p["b"]
+        return logits, (e, q, k, v, a, z)
 
     def step(self, s, y, valid, state, t, rate=0.01):
         """One step of Adam on the cross-entropy of the classes y where valid."""
         p, d = self.p, self.p["q"].shape[0]
         scale = np.float32(d**-0.5)
         logits, (e, q, k, v, a, z) = self.forward(s)
-        x = np.exp(logits - logits.max(2, keepdims=True))
-        x /= x.sum(2, keepdims=True)
-        loss = -np.log(np.take_along_axis(x, y[..., None], 2)[..., 0] + 1e-9)[valid].mean()
-        np.put_along_axis(x, y[..., None], np.take_along_axis(x, y[..., None], 2) - 1, 2)
-        x *= valid[..., None] / np.float32(valid.sum())
-        dz = x @ p["out"].T
-        g = {"out": np.einsum("wtz,wtc->zc", z, x), "b": x.sum((0, 1))}
+        x = np.exp(np.minimum(logits, 60, out=logits), out=logits)
+        share = valid / np.float32(valid.sum())
+        total = (x.reshape(-1, x.shape[2]) @ np.ones(x.shape[2], np.float32)).reshape(y.shape)
+        mine = np.take_along_axis(x, y[..., None], 2)[..., 0] / total
+        loss = -np.log(mine + 1e-9)[valid].mean()
+        x *= (share / total)[..., None]
+        np.put_along_axis(x, y[..., None], ((mine - 1) * share)[..., None], 2)
+        dz = (x.reshape(-1, x.shape[2]) @ p["out"].T).reshape(*y.shape, -1)
+        across = lambda a, b: a.reshape(-1, a.shape[2]).T @ b.reshape(-1, b.shape[2])
+        g = {"out": across(z, x), "b": np.ones(y.size, np.float32) @ x.reshape(y.size, -1)}
         de = np.zeros_like(e)
         de[:, BLOCK - 1 :] += dz[..., d:]
         dh = dz[..., :d]
         da, dv = dh @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
         da = a * (da - (da * a).sum(2, keepdims=True))
         g["rel"] = np.bincount(self.back.ravel(), (da.sum(0) * self.mask).ravel(), 2 * BLOCK).astype(np.float32)
-        dq, dk = da @ k * scale, da.transpose(0, 2, 1) @ q * scale
-        g["q"] = np.einsum("wtd,wte->de", e[:, BLOCK - 1 :], dq)
-        g["k"], g["v"] = np.einsum("wtd,wte->de", e, dk), np.einsum("wtd,wte->de", e, dv)
+        dq, dk = da @ k * scale, da.transpose(0, 2, 1) @ q  # q holds the scale
+        g["q"], g["k"], g["v"] = across(e[:, BLOCK - 1 :], dq), across(e, dk), across(e, dv)
         de[:, BLOCK - 1 :] += dq @ p["q"].T
-        de += dk @ p["k"].T + dv @ p["v"].T
-        g["emb"] = np.zeros_like(p["emb"])
-        np.add.at(g["emb"], s.ravel(), de.reshape(-1, d))
+        de += (np.concatenate([dk, dv], 2).reshape(-1, 2 * d) @ np.concatenate([p["k"], p["v"]], 1).T).reshape(de.shape)
+        cells = s.reshape(-1, 1) * d + np.arange(d)
+        g["emb"] = np.bincount(cells.ravel(), de.ravel(), p["emb"].size).reshape(-1, d).astype(np.float32)
         for n, x in g.items():
             m, w = state.setdefault(n, (np.zeros_like(p[n]), np.zeros_like(p[n])))
             m += 0.1 * (x - m)
@@ -255,7 +267,7 @@ def _pieces(name: str):
     def run(batches):
         import pyarrow as pa
 
-        voc = Vocabulary(name)
+        voc = vocabulary_of(name)
         total = np.zeros((4, voc.size), np.int64)
         for b in batches:
             for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
@@ -271,31 +283,78 @@ def _pieces(name: str):
     return run
 
 
-def _ids(voc: Vocabulary, texts: list[bytes]) -> list[np.ndarray]:
-    return [np.array([i for w in t.lower().split() for i in voc.ids(w)] + [voc.end], np.int64) for t in texts]
+class Words(dict):
+    """word -> place in a pool of ids and counts (-1 for words that are not hot). Bounded by clear()."""
+
+    def __init__(self, voc: Vocabulary, hot: dict[bytes, int]):
+        super().__init__()
+        self.voc, self.hot = voc, hot
+        self.clear()
+
+    def clear(self):
+        super().clear()
+        self.ids, self.start, self.size, self.count = (array("q") for _ in range(4))
+
+    def __missing__(self, word: bytes) -> int:
+        ids = self.voc.ids(word)
+        at = self[word] = len(self)
+        self.start.append(len(self.ids))
+        self.size.append(len(ids))
+        self.count.append(self.hot.get(word, -1))
+        self.ids.extend(ids)
+        return at
 
 
-def _near(sent):
+def _flat(pool: Words, texts: list[bytes]):
+    """The ids of each text's words and then its end, as one flat run: the words, their number by text, their places in the pool, which
+    units (words or ends) are words, where units begin, which are the ends, and the ids."""
+    words = [t.lower().split() for t in texts]
+    flat = [w for x in words for w in x]
+    n = np.array([len(x) for x in words], np.int64)
+    at = np.fromiter(map(pool.__getitem__, flat), np.int64, len(flat))
+    size, start = np.array(pool.size, np.int64)[at], np.array(pool.start, np.int64)[at]
+    last = np.cumsum(n + 1) - 1
+    unit = np.ones(len(flat) + len(n), np.int64)
+    own = np.ones(len(unit), bool)
+    own[last] = False
+    unit[own] = size
+    begin = np.cumsum(unit) - unit
+    ids = np.full(int(unit.sum()), pool.voc.end, np.int64)
+    inner = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+    ids[np.repeat(own, unit)] = np.array(pool.ids, np.int64)[inner] if len(flat) else []
+    return flat, n, at, own, begin, last, ids
+
+
+@functools.cache
+def _pool(name: str) -> Words:
+    return Words(vocabulary_of(name), {})
+
+
+def _near(sent, most: int = 200_000):
     """Counts of neighbours: cell (row of an id with a slot, place of its neighbour), n."""
 
     def run(batches):
         import pyarrow as pa
 
         model = sent.value
-        voc = Vocabulary(model.name)
+        pool = _pool(model.name)
         near = np.zeros((len(model.top) + 1) * 512, np.int64)
         for part in slices(batches, ["text"]):
-            for q in _ids(voc, raw(part.column("text"))):
-                near += np.bincount(model.row[q[:-1]] * 512 + model.rank[q[1:]], minlength=len(near))
-                near += np.bincount(model.row[q[1:]] * 512 + 256 + model.rank[q[:-1]], minlength=len(near))
+            if len(pool) > most:
+                pool.clear()
+            *_, q = _flat(pool, raw(part.column("text")))
+            before = np.flatnonzero(q[:-1] != pool.voc.end)  # an end has no neighbour after it
+            a, b = q[before], q[before + 1]
+            near += np.bincount(model.row[a] * 512 + model.rank[b], minlength=len(near))
+            near += np.bincount(model.row[b] * 512 + 256 + model.rank[a], minlength=len(near))
         some = np.flatnonzero(near)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(near[some])], names=["cell", "n"])
 
     return run
 
 
-def _learner(sent, turn: int, rounds: int, epochs: float, rate: float):
-    """One group of training documents: the weights after its share of windows, times their number."""
+def _learner(sent, turn: int, part: float, rate: float, most: int = 200_000):
+    """One group of training documents: the weights after `part` of its windows, times their number."""
 
     def run(table):
         import copy
@@ -303,42 +362,51 @@ def _learner(sent, turn: int, rounds: int, epochs: float, rate: float):
         import pyarrow as pa
 
         model = copy.deepcopy(sent.value)
-        voc = Vocabulary(model.name)
-        texts = sorted(raw(table.combine_chunks().column("text").combine_chunks() if table.num_rows else table.column("text")))
-        seqs = _ids(voc, texts)
+        pool = _pool(model.name)
+        if len(pool) > most:
+            pool.clear()
+        texts = sorted(raw(table.column("text").combine_chunks()))
+        *_, begin, last, ids = _flat(pool, texts)
+        seqs = np.split(ids, begin[last][:-1] + 1)
         windows = sum(-(-len(q) // BLOCK) for q in seqs)
-        n = model.learn(seqs, max(1, round(windows * epochs / rounds)), rate, [turn, len(texts), windows])
+        n = model.learn(seqs, max(1, round(windows * part)), rate, [turn, len(texts), windows])
         flat = np.concatenate([p.ravel() for p in model.net.p.values()]).astype(np.float64)
         return pa.table({"at": pa.array(np.arange(len(flat))), "x": pa.array(flat * n), "n": pa.array(np.full(len(flat), n, np.int64))})
 
     return run
 
 
-def fit(some: DataFrame, counts: DataFrame, voc: Vocabulary, vocabulary: str, ends: int, rounds: int = 6, least_windows: int = 230_000) -> Model:
-    """Classes from the neighbours of ids in the training texts `some`, then attention weights by rounds of averaging: groups of texts
-    (250, or the square root of their number) each take steps from the same weights, whose means, by windows, start the next
-    round. All windows are used once, or more often where there are few. The driver holds tables of the model's size."""
-    spark = some.sparkSession
+def fit(train: DataFrame, counts: DataFrame, voc: Vocabulary, vocabulary: str, ends: int, rounds: int = 6, least_windows: int = 230_000, group: int = 1 << 15) -> Model:
+    """Classes from the neighbours of ids in the training texts, then attention weights by rounds of averaging: groups of texts (of
+    `group` windows a round, or eight times the square root of a round's) each take steps from the same weights, whose means, by windows,
+    start the next round. Each text has its round, so all windows are used once; where there are few, each text is in
+    every round and its windows are used once or more. The driver holds tables of the model's size."""
+    spark = train.sparkSession
     found = counts.mapInArrow(_pieces(vocabulary), PIECES).groupBy("id").agg(*(F.sum(c).alias(c) for c in ("tokens", "types", "firsts", "singles"))).toPandas()  # a row per id
     of = np.zeros((4, voc.size))
     of[:, found["id"]] = found[["tokens", "types", "firsts", "singles"]].to_numpy().T
     of[0, voc.end] = ends
     model = Model(vocabulary).prepare(of[0], voc)
     near = np.zeros((len(model.top) + 1) * 512, np.float32)
-    cells = some.select("text").mapInArrow(_near(spark.sparkContext.broadcast(model)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # at most 512 a slot
-    near[cells["cell"]] = cells["n"]
+    cells = train.select("text").mapInArrow(_near(spark.sparkContext.broadcast(model)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 512 a slot
+    near[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     model.group(near.reshape(-1, 512), voc)
-    texts, blocks = some.count(), cells["n"].sum() / 2 / BLOCK
+    blocks = float(of[0].sum()) / BLOCK
     if blocks:
-        groups = max(1, round(texts / max(250.0, texts**0.5)))
-        epochs = max(1.0, least_windows / float(blocks))
-        dealt = some.select("text", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(groups)).alias("g"))
+        few = blocks < least_windows
+        part = max(1.0, least_windows / blocks) / rounds if few else 1.0
+        each = max(blocks, least_windows) / rounds
+        groups = max(1, round(each / max(group, 8 * each**0.5)))
+        dealt = train.select("text", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(groups)).alias("g"), F.pmod(F.xxhash64("text", F.lit(4)), F.lit(rounds)).alias("turn"))
         for turn in range(rounds):
             sent = spark.sparkContext.broadcast(model)
-            got = dealt.groupBy("g").applyInArrow(_learner(sent, turn, rounds, epochs, 0.02 if turn < rounds - 2 else 0.005), "at long, x double, n long")
-            mean = got.groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()  # a row per weight
-            flat = np.zeros(len(mean), np.float32)
-            flat[mean["at"]] = mean["x"]
+            now = dealt if few else dealt.where(F.col("turn") == turn)
+            got = now.select("text", "g").groupBy("g").applyInArrow(_learner(sent, turn, part, 0.02 if turn < rounds - 2 else 0.005), "at long, x double, n long")
+            mean = got.groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()  # a row per weight
+            if not mean.num_rows:  # no text has this round
+                continue
+            flat = np.zeros(mean.num_rows, np.float32)
+            flat[mean["at"].to_numpy()] = mean["x"].to_numpy()
             done = 0
             for name, p in model.net.p.items():
                 model.net.p[name] = flat[done : done + p.size].reshape(p.shape)
@@ -346,28 +414,6 @@ def fit(some: DataFrame, counts: DataFrame, voc: Vocabulary, vocabulary: str, en
     return model.finish(*of)
 
 
-class Words(dict):
-    """word -> place in a pool of ids and counts (-1 for words that are not hot). Bounded by clear()."""
-
-    def __init__(self, voc: Vocabulary, hot: dict[bytes, int]):
-        super().__init__()
-        self.voc, self.hot = voc, hot
-        self.clear()
-
-    def clear(self):
-        super().clear()
-        self.ids, self.start, self.size, self.count = (array("q") for _ in range(4))
-
-    def __missing__(self, word: bytes) -> int:
-        ids = self.voc.ids(word)
-        at = self[word] = len(self)
-        self.start.append(len(self.ids))
-        self.size.append(len(ids))
-        self.count.append(self.hot.get(word, -1))
-        self.ids.extend(ids)
-        return at
-
-
 def _rows(sent, most: int = 250_000):
     state: dict = {}
 
@@ -377,7 +423,8 @@ def _rows(sent, most: int = 250_000):
 
         model, hot, ends, total = sent.value
         if "pool" not in state:
-            state["pool"] = Words(Vocabulary(model.name), hot)
+            _pool.cache_clear()
+            state["pool"] = Words(vocabulary_of(model.name), hot)
         pool = state["pool"]
         voc = pool.voc
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
@@ -385,22 +432,8 @@ def _rows(sent, most: int = 250_000):
             texts = [t.lower() for t in raw(part.column("text"))]
             if len(pool) > most:
                 pool.clear()
-            words = [t.split() for t in texts]
-            flat = [w for x in words for w in x]
-            n = np.array([len(x) for x in words])
-            at = np.fromiter(map(pool.__getitem__, flat), np.int64, len(flat))
-            size, start = np.array(pool.size, np.int64)[at], np.array(pool.start, np.int64)[at]
+            flat, n, at, own, begin, last, ids = _flat(pool, texts)
             count = np.array(pool.count, np.int64)[at]
-            # each text's words and then its end, as one flat run of ids
-            last = np.cumsum(n + 1) - 1
-            unit = np.ones(len(flat) + len(n), np.int64)
-            own = np.ones(len(unit), bool)
-            own[last] = False
-            unit[own] = size
-            begin = np.cumsum(unit) - unit
-            ids = np.full(int(unit.sum()), voc.end, np.int64)
-            inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            ids[np.repeat(begin[own], size) + inner] = np.array(pool.ids, np.int64)[np.repeat(start, size) + inner] if len(flat) else []
             cut = begin[last] + 1
             cl, starts = model.score(np.split(ids, cut[:-1]))
             cl[begin] -= starts[begin]  # a word begins here for certain; that the last one was over counts where it is spelt
@@ -409,7 +442,7 @@ def _rows(sent, most: int = 250_000):
             kind = model.cls[ids[begin]]
             a = cl[begin] + model.known[kind] - model.words[kind]
             b = spelt + model.new[kind]
-            c = np.full(len(unit), -1, np.int64)
+            c = np.full(len(own), -1, np.int64)
             c[own] = count
             value = np.where(c > 0, np.logaddexp(a + np.log(np.maximum(c, 1)), b), 0.0)
             value[last] = spelt[last]
@@ -430,7 +463,7 @@ def _rows(sent, most: int = 250_000):
     return run
 
 
-def score(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", folds: int = 7, fold: int = 2, sample: int = 500, share: float = 0.01, hot: int = 200_000, scratch: Scratch | None = None) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", folds: int = 7, fold: int = 2, hot: int = 200_000, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "lm")
@@ -440,9 +473,7 @@ def score(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", folds: int
     counts = scratch.put(word_counts(train))
     types, words, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first() + (train.count(),)
     n, v = words + rows, types + (rows > 0)
-    u = F.pmod(F.xxhash64("doc_id", "text", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    some = scratch.put(train.where(u < max(share, sample / max(1, rows))).select("text"))
-    model = fit(some, counts, Vocabulary(vocabulary), vocabulary, rows)
+    model = fit(train, counts, Vocabulary(vocabulary), vocabulary, rows)
     # the counts that at most `hot` words exceed, from a histogram in powers of 2 ** (1 / 16): at most 1,024 rows
     bucket = F.floor(F.log2("c") * 16).cast("int")
     least, room = 1 << 62, hot

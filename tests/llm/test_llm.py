@@ -439,3 +439,25 @@ def test_one_of_each_frees_its_steps(spark, docs):
     out = jaccard.one_of_each(docs, scratch)
     assert len(os.listdir(scratch.root.removeprefix("file://"))) == 1
     assert out.columns == docs.columns and out.count() > 0
+
+
+def test_lm_learns_from_every_training_text(spark, monkeypatch):
+    """Neighbours are counted, and windows trained on, over all training texts of a table larger than any sample."""
+    import types
+
+    import pyarrow as pa
+
+    texts = [prose(3 + i % 20) for i in range(900)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    voc = lm.Vocabulary("byte_bpe_50k.tiktoken")
+    ids = [sum((voc.ids(w.encode()) for w in plain.WORD.findall(plain.ascii_lower(t))), []) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts) if plain.bucket(i, 7) != 2], "doc_id long, text string")
+    seen = {}
+    group, learner = lm.Model.group, lm._learner
+    monkeypatch.setattr(lm.Model, "group", lambda self, near, v: seen.update(near=near.sum(), model=group(self, near, v)) or seen["model"])
+    monkeypatch.setattr(lm.Model, "learn", lambda self, *a: 1)
+    lm.score(df).count()
+    assert seen["near"] == 2 * sum(len(q) for i, q in enumerate(ids) if plain.bucket(i, 7) != 2)  # each id and the one after it, or the end
+    monkeypatch.undo()
+    got = learner(types.SimpleNamespace(value=seen["model"]), 0, 1.0, 0.02)(pa.table({"text": texts}))
+    assert got.column("n")[0].as_py() == sum(-(-(len(q) + 1) // lm.BLOCK) for q in ids)
