@@ -215,8 +215,10 @@ def _runs(own, other, order, ranked, bridge: int = 12):
 
     def passages(most: int):
         cut = np.flatnonzero((np.diff(hit) > most) | (np.abs(np.diff(diag)) > most)) + 1
-        for seg in np.split(np.arange(len(hit)), cut):
-            yield int(hit[seg[0]]), int(hit[seg[-1]]), int(place[seg].min()), int(place[seg].max())
+        low, high = np.r_[0, cut], np.r_[cut, len(hit)]
+        for i in np.flatnonzero(hit[high - 1] - hit[low] + WORDS >= LEAST).tolist():  # shorter ones hold no passage
+            seg = place[low[i] : high[i]]
+            yield int(hit[low[i]]), int(hit[high[i] - 1]), int(seg.min()), int(seg.max())
 
     out = []
     for a, b, x, y in passages(bridge):
