@@ -5,7 +5,10 @@ masked attention over the 8 to 15 ids before gives P(class), and counts over the
 (classes: ids clustered by their neighbours, and one for the end). Given its first id's class, a word is drawn from the corpus
 counts of the words of that class or, if never seen, spelt id by id, so every text has a proper probability. A text is cut in
 blocks of eight ids; each overlapping window holds a block and the one before it, and scores the block's ids once, many
-windows a batch.
+windows a batch. Blocks lie in a run, a text's after an empty one, so that what a window needs of the block before it is computed once.
+
+Each text is cut into ids once: the ids, beside the text, and the counts of words go to a scratch table, from which neighbours,
+training and scores are taken.
 
 All is gathered from the whole training corpus: word counts (the base), and through them the counts of ids by words and tokens and the
 chance of new words; the neighbours of ids; and the attention weights, by rounds in which groups of documents train from the
@@ -20,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import functools
-from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,6 +34,7 @@ from .tokens import locate
 
 BLOCK = 8
 SLOTS = 4096  # ids with an embedding of their own
+READ = "doc_id long, held_out boolean, text string, ids binary, word binary, c long"  # a text and its ids, or a word's count
 PIECES = "id long, tokens long, types long, firsts long, singles long"
 ROWS = "doc_id long, held_out boolean, h long, n_tokens long, n_known long, hot double, score double, cold array<struct<word:binary,a:float,b:float>>"
 
@@ -50,12 +53,30 @@ class Vocabulary:
         self.encoding = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.spaced = np.zeros(self.size, np.int64)
         self.spaced[[v for k, v in ranks.items() if k[:1] == b" "]] = 1
+        self.begins = self.spaced == 1  # a word holds no space but the one put before it, so these ids begin a word; or the end
+        self.begins[self.end] = True
+        self.kind = np.dtype(np.uint16 if self.size <= 1 << 16 else np.uint32)
         self.wide = np.zeros(self.size, np.int64)
         self.wide[[v for k, v in ranks.items() if not k.isascii()]] = 1
 
     def ids(self, word: bytes) -> list[int]:
         return self.encoding.encode_ordinary(" " + word.decode("utf-8", "replace"))
 
+    def many(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words of an Arrow array in one run, and their numbers by word. Cut together, unless an id spans two words."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not len(words):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py()
+        found = self.encoding.encode_to_numpy(" " + joined.decode("utf-8", "replace"), disallowed_special=()).astype(np.int64)
+        at = np.flatnonzero(self.spaced[found])
+        if len(at) == len(words):
+            return found, np.diff(np.r_[at, len(found)])
+        each = [self.ids(w) for w in words.to_pylist()]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
 
 @functools.cache
 def vocabulary_of(name: str) -> Vocabulary:
@@ -63,6 +84,24 @@ def vocabulary_of(name: str) -> Vocabulary:
     return Vocabulary(name)
 
 
+def below(x: np.ndarray, most: float = 60) -> np.ndarray:
+    """x, cut in place where it exceeds what exp takes; mostly it does not, and reading is cheaper than writing."""
+    return np.minimum(x, most, out=x) if x.size and x.max() > most else x
+
+
+@functools.cache
+def keep_memory() -> None:
+    """Freed arrays stay with the worker, up to 64 MB: pages given back and taken anew cost more than the arithmetic on them. glibc only."""
+    import ctypes
+
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 16 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):
+        pass
+
+
 class Attention:
     """One head of width d over embeddings of slots; the last position's embedding is added to what it attends to."""
 
@@ -74,54 +113,72 @@ class Attention:
         self.back, self.mask = np.clip(at, 0, 2 * BLOCK - 1), at >= 0
 
     def forward(self, s: np.ndarray):
-        """s: (windows, 15) slots. Logits of the classes of the block's eight ids, and what backward needs."""
-        p, scale = self.p, np.float32(self.p["q"].shape[1] ** -0.5)
-        e = p["emb"][s]
-        d = p["q"].shape[0]
-        kv = (e.reshape(-1, d) @ np.concatenate([p["k"], p["v"]], 1)).reshape(*s.shape, 2 * d)
-        q, k, v = (e[:, BLOCK - 1 :].reshape(-1, d) @ (p["q"] * scale)).reshape(-1, BLOCK, d), kv[..., :d], kv[..., d:]
-        a = q @ k.transpose(0, 2, 1)
-        a += np.where(self.mask, p["rel"][self.back], np.float32(-1e9))
-        np.exp(np.minimum(a, 60, out=a), out=a)
-        a /= a @ np.ones((a.shape[2], 1), np.float32)
-        z = np.concatenate([a @ v, e[:, BLOCK - 1 :]], 2)
-        logits = (z.reshape(-1, 2 * d) @ p["out"]).reshape(*z.shape[:2], -1)
-        logits += p["b"]
-        return logits, (e, q, k, v, a, z)
-
-    def step(self, s, y, valid, state, t, rate=0.01):
-        """One step of Adam on the cross-entropy of the classes y where valid."""
+        """s: (m + 1, 8) slots of a run of blocks, the first only read. Logits, without the bias, of the classes of the 8 m ids after the
+        first block, and what backward needs. Keys are kept by dimension as well: products with a transposed right side are slow."""
         p, d = self.p, self.p["q"].shape[0]
-        scale = np.float32(d**-0.5)
-        logits, (e, q, k, v, a, z) = self.forward(s)
-        x = np.exp(np.minimum(logits, 60, out=logits), out=logits)
-        share = valid / np.float32(valid.sum())
-        total = (x.reshape(-1, x.shape[2]) @ np.ones(x.shape[2], np.float32)).reshape(y.shape)
-        mine = np.take_along_axis(x, y[..., None], 2)[..., 0] / total
-        loss = -np.log(mine + 1e-9)[valid].mean()
-        x *= (share / total)[..., None]
-        np.put_along_axis(x, y[..., None], ((mine - 1) * share)[..., None], 2)
-        dz = (x.reshape(-1, x.shape[2]) @ p["out"].T).reshape(*y.shape, -1)
-        across = lambda a, b: a.reshape(-1, a.shape[2]).T @ b.reshape(-1, b.shape[2])
-        g = {"out": across(z, x), "b": np.ones(y.size, np.float32) @ x.reshape(y.size, -1)}
-        de = np.zeros_like(e)
-        de[:, BLOCK - 1 :] += dz[..., d:]
-        dh = dz[..., :d]
-        da, dv = dh @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
-        da = a * (da - (da * a).sum(2, keepdims=True))
-        g["rel"] = np.bincount(self.back.ravel(), (da.sum(0) * self.mask).ravel(), 2 * BLOCK).astype(np.float32)
-        dq, dk = da @ k * scale, da.transpose(0, 2, 1) @ q  # q holds the scale
-        g["q"], g["k"], g["v"] = across(e[:, BLOCK - 1 :], dq), across(e, dk), across(e, dv)
-        de[:, BLOCK - 1 :] += dq @ p["q"].T
-        de += (np.concatenate([dk, dv], 2).reshape(-1, 2 * d) @ np.concatenate([p["k"], p["v"]], 1).T).reshape(de.shape)
-        cells = s.reshape(-1, 1) * d + np.arange(d)
-        g["emb"] = np.bincount(cells.ravel(), de.ravel(), p["emb"].size).reshape(-1, d).astype(np.float32)
-        for n, x in g.items():
-            m, w = state.setdefault(n, (np.zeros_like(p[n]), np.zeros_like(p[n])))
+        e = p["emb"].take(s.ravel(), 0)
+        w = np.concatenate([p["q"] * np.float32(d**-0.5), p["k"], p["v"]], 1)
+        x, t = e @ w, w[:, d:].T @ e.T
+        m, row, cell = len(s) - 1, x.strides[0], x.itemsize
+        q = np.ndarray((m, BLOCK, d), x.dtype, x, (BLOCK - 1) * row, (BLOCK * row, row, cell))
+        k, v = (np.ndarray((m, 2 * BLOCK - 1, d), x.dtype, x, i * d * cell, (BLOCK * row, row, cell)) for i in (1, 2))
+        kt, vt = (np.ndarray((m, d, 2 * BLOCK - 1), t.dtype, t, i * d * t.strides[0], (BLOCK * cell, t.strides[0], cell)) for i in (0, 1))
+        a = q @ kt
+        a += np.where(self.mask, p["rel"][self.back], np.float32(-1e9))
+        np.exp(below(a), out=a)
+        a /= (a.reshape(-1, a.shape[2]) @ np.ones(a.shape[2], np.float32)).reshape(m, BLOCK, 1)
+        z = np.empty((m * BLOCK, 2 * d), np.float32)
+        np.matmul(a, v, out=z.reshape(m, BLOCK, 2 * d)[..., :d])
+        z[:, d:] = e[BLOCK - 1 : -1]
+        return z @ p["out"], (e, w, q, k, vt, a, z)
+
+    def slopes(self, s, y, share) -> dict[str, np.ndarray]:
+        """Gradients of the cross-entropy of the classes y of the ids after the first block, weighted by share."""
+        p, d, m = self.p, self.p["q"].shape[0], len(s) - 1
+        x, (e, w, q, k, vt, a, z) = self.forward(s)
+        bias = np.exp(p["b"])
+        np.exp(below(x), out=x)
+        total = x @ bias
+        at = np.arange(len(y)) * x.shape[1] + y
+        x.reshape(-1)[at] -= total / bias.take(y)  # x * bias * share / total is the slope of the logits
+        r = (share / total)[:, None]
+        g = {"out": (z * r).T @ x * bias, "b": (r[:, 0] @ x) * bias}
+        dz = x @ np.ascontiguousarray((p["out"] * bias).T)
+        dz *= r
+        dh = dz.reshape(m, BLOCK, 2 * d)[..., :d]
+        da = dh @ vt
+        da *= a
+        da -= a * (da.reshape(-1, da.shape[2]) @ np.ones(da.shape[2], np.float32)).reshape(m, BLOCK, 1)
+        g["rel"] = np.bincount(self.back.ravel(), np.ones(m, np.float32) @ da.reshape(m, -1) * self.mask.ravel(), 2 * BLOCK).astype(np.float32)
+        dx = np.empty((m + 1, BLOCK, 3 * d), np.float32)
+        dx[-1] = 0
+        dx[0, : BLOCK - 1, :d] = 0
+        for right, left, at in ((q, da, slice(d, 2 * d)), (dh, a, slice(2 * d, 3 * d))):
+            left = left.transpose(0, 2, 1)
+            np.matmul(left[:, :BLOCK], right, out=dx[:-1, :, at])
+            dx[1:, :-1, at] += left[:, BLOCK:] @ right
+        dx = dx.reshape(-1, 3 * d)
+        dx[-1, :d] = 0
+        dx[BLOCK - 1 : -1, :d] = (da @ k).reshape(-1, d)
+        dw = e.T @ dx
+        g["q"], g["k"], g["v"] = dw[:, :d] * np.float32(d**-0.5), dw[:, d : 2 * d], dw[:, 2 * d :]
+        de = dx @ np.ascontiguousarray(w.T)
+        de[BLOCK - 1 : -1] += dz[:, d:]
+        at = s.ravel()
+        g["emb"] = np.array([np.bincount(at, x, len(p["emb"])) for x in de.T], np.float32).T
+        return g
+
+    def step(self, runs, state, t, rate=0.01):
+        """One step of Adam on the cross-entropy of the classes y of each run (s, y, valid) where valid."""
+        p = self.p
+        n = np.float32(sum(valid.sum() for _, _, valid in runs))
+        parts = [self.slopes(s, y, valid / n) for s, y, valid in runs]
+        for name in parts[0]:
+            x = sum(g[name] for g in parts)
+            m, w = state.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
             m += 0.1 * (x - m)
             w += 0.01 * (x * x - w)
-            p[n] -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(w / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-        return float(loss)
+            p[name] -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(w / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
 
 
 class Model:
@@ -167,17 +224,29 @@ class Model:
         self.net = Attention(int(self.slot.max()) + 1, self.classes)
         return self
 
-    def learn(self, seqs: list[np.ndarray], most: int, rate: float, seed: list[int], batch: int = 512) -> int:
-        """Steps of Adam over `most` windows of the sequences; the number taken."""
-        s, y, valid = self.windows(seqs)
+    def learn(self, ids: np.ndarray, size: np.ndarray, most: int, rate: float, seed: list[int], run: int = 16, batch: int = 32) -> int:
+        """Steps of Adam over `most` windows, in order of runs drawn at random; the number taken. A step holds `batch` runs, each of `run` blocks
+        after the one before them, and goes over them in two halves, which fit the processor's cache."""
+        s, y, valid = self.blocks(ids, size)
+        spare = -(len(s) - 1) % run
+        s, y, valid = (np.concatenate([x, np.zeros((spare, BLOCK), x.dtype)]) for x in (s, y, valid))
+        own = valid[1:].any(1).reshape(-1, run).sum(1)
         g, state, done, t = np.random.default_rng(seed), {}, 0, 0
+
+        def part(pick):
+            at = (pick[:, None] * run + np.arange(run + 1)).ravel()
+            real = valid[at]
+            real[:: run + 1] = False
+            return s[at], y[at[1:]].ravel(), real[1:].ravel()
+
         while done < most:
-            order = g.permutation(len(s))[: most - done]
+            order = g.permutation(len(own))
+            order = order[: 1 + int(np.searchsorted(np.cumsum(own[order]), most - done))]
             for i in range(0, len(order), batch):
                 pick = order[i : i + batch]
                 t += 1
-                self.net.step(s[pick], y[pick], valid[pick], state, t, rate)
-            done += len(order)
+                self.net.step([part(x) for x in (pick[: batch // 2], pick[batch // 2 :]) if len(x)], state, t, rate)
+            done += int(own[order].sum())
         return done
 
     def finish(self, tokens: np.ndarray, types: np.ndarray, firsts: np.ndarray, singles: np.ndarray) -> Model:
@@ -193,72 +262,93 @@ class Model:
         self.new, self.known = np.log(new), np.log1p(-new)
         return self
 
-    def windows(self, seqs):
-        """(windows, 15) slots, the classes of the eight ids and which of them are real."""
-        size = np.array([len(q) for q in seqs])
-        blocks = -(-size // BLOCK)
-        flat = np.concatenate(seqs)
-        at = np.arange(len(flat)) - np.repeat(np.r_[0, np.cumsum(size)[:-1]], size) + np.repeat(np.r_[0, np.cumsum(blocks)[:-1]] * BLOCK, size)
-        n = int(blocks.sum())
-        slots, y, valid = np.zeros(n * BLOCK, np.int32), np.zeros(n * BLOCK, np.int64), np.zeros(n * BLOCK, bool)
-        slots[at], y[at], valid[at] = self.slot[flat], self.cls[flat], True
-        slots = slots.reshape(n, BLOCK)
-        before = np.r_[np.zeros((1, BLOCK), np.int32), slots[:-1]]
-        before[np.r_[0, np.cumsum(blocks)[:-1]]] = 0
-        return np.concatenate([before, slots[:, :-1]], 1), y.reshape(n, BLOCK), valid.reshape(n, BLOCK)
-
-    def score(self, seqs, most: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-        """log P(class | ids before) and log P(a word begins or the text ends) at each id of all sequences, in order."""
-        s, y, valid = self.windows(seqs)
-        net, p = self.net, self.net.p
-        d = p["q"].shape[0]
-        if not hasattr(self, "tables"):  # what attention needs of a slot, computed once
-            pick = np.zeros((self.classes, 2), np.float32)
-            pick[:, 0], pick[self.begin :, 1] = 1, 1
-            self.tables = (p["emb"] @ p["q"] * np.float32(d**-0.5), p["emb"] @ p["k"], p["emb"] @ p["v"], p["emb"] @ p["out"][d:] + p["b"], np.where(net.mask, p["rel"][net.back], np.float32(-1e9)), pick)
-        q, k, v, own, rel, pick = self.tables
-        got, starts = np.zeros(y.shape, np.float32), np.zeros(y.shape, np.float32)
-        for i in range(0, len(s), most):
-            t = s[i : i + most]
-            last = t[:, BLOCK - 1 :]
-            a = q[last] @ k[t].transpose(0, 2, 1)
-            a += rel
-            np.exp(np.minimum(a, 60, out=a), out=a)
-            h = (a @ v[t]) / (a @ np.ones((a.shape[2], 1), np.float32))
-            x = (h.reshape(-1, d) @ p["out"][:d]).reshape(*last.shape, -1)
-            x += own[last]
-            x -= max(0.0, float(x.max()) - 60)
-            mine = np.take_along_axis(x, y[i : i + most, :, None], 2)[..., 0]
-            np.exp(x, out=x)
-            both = np.log((x.reshape(-1, self.classes) @ pick) + 1e-30).reshape(*last.shape, 2)
-            got[i : i + most] = mine - both[..., 0]
-            starts[i : i + most] = both[..., 1] - both[..., 0]
-        return got[valid].astype(np.float64), starts[valid].astype(np.float64)
-
-
-def _count(batches):
-    from collections import Counter
-
+    def blocks(self, ids: np.ndarray, size: np.ndarray):
+        """The sequences that follow each other in ids as (blocks, 8) slots, their classes and which are real; each begins a block after an
+        empty one."""
+        n = -(-size // BLOCK) + 1
+        at = np.arange(len(ids)) + np.repeat((np.cumsum(n) - n + 1) * BLOCK - (np.cumsum(size) - size), size)
+        total = int(n.sum()) * BLOCK
+        slots, y, valid = np.zeros(total, np.int64), np.zeros(total, np.int64), np.zeros(total, bool)
+        slots[at], y[at], valid[at] = self.slot.take(ids), self.cls.take(ids), True
+        return slots.reshape(-1, BLOCK), y.reshape(-1, BLOCK), valid.reshape(-1, BLOCK)
+
+    def score(self, ids: np.ndarray, size: np.ndarray, most: int = 128) -> tuple[np.ndarray, np.ndarray]:
+        """log P(class | ids before) and log P(a word begins or the text ends) at each id of the sequences that follow each other in ids."""
+        s, y, valid = self.blocks(ids, size)
+        b = self.net.p["b"]
+        pick = np.exp(b)[:, None] * np.ones((1, 2), np.float32)
+        pick[: self.begin, 1] = 0
+        got, both = np.zeros(y.shape, np.float32), np.zeros((*y.shape, 2), np.float32)
+        for i in range(0, len(s) - 1, most):
+            part = y[i + 1 : i + 1 + most]
+            x, _ = self.net.forward(s[i : i + 1 + most])
+            below(x)
+            got[i + 1 : i + 1 + most] = x.reshape(-1)[np.arange(len(x)) * x.shape[1] + part.ravel()].reshape(part.shape)
+            both[i + 1 : i + 1 + most] = (np.exp(x, out=x) @ pick).reshape(*part.shape, 2)
+        both = np.log(both[valid] + 1e-30).astype(np.float64)
+        return got[valid] + b.take(y[valid]).astype(np.float64) - both[:, 0], both[:, 1] - both[:, 0]
+
+
+def _words(text):
+    """The lower-cased words of each text in one Arrow array, and their numbers by text."""
     import pyarrow as pa
+    import pyarrow.compute as pc
+
+    found = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words, cuts = found.flatten().cast(pa.binary()), found.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    done = np.cumsum(np.r_[0, full])[cuts - cuts[0]]
+    return words.filter(pa.array(full)), np.diff(done)
+
+
+def _cut(voc: Vocabulary, text):
+    """The different words of the texts, each word's place among them, the numbers of words by text, the ids of each text's words and then its
+    end, as one flat run, and where the ends are."""
+    words, n = _words(text)
+    found = words.dictionary_encode()
+    at = found.indices.to_numpy()
+    pool, each = voc.many(found.dictionary)
+    size, start = each[at], (np.cumsum(each) - each)[at]
+    done = np.cumsum(np.r_[0, size])  # ids of the words before
+    ends = done[np.cumsum(n)] + np.arange(len(n))
+    ids = np.full(int(done[-1]) + len(n), voc.end, voc.kind)
+    inner = np.ones(len(ids), bool)
+    inner[ends] = False
+    ids[inner] = pool.astype(voc.kind).take(np.arange(done[-1]) + np.repeat(start - done[:-1], size)) if len(at) else []
+    return found.dictionary, at, n, ids, ends
+
+
+def _read(name: str, most: int = 400_000):
+    """Rows of READ: each text with the ids of its words and then the end, and the counts of the training texts' words."""
 
-    seen: Counter = Counter()
-
-    def out():
-        batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-        seen.clear()
-        return batch
-
-    for part in slices(batches, ["text"]):
-        for t in raw(part.column("text")):
-            seen.update(t.lower().split())
-        if len(seen) > 300_000:
-            yield out()
-    yield out()
+    def run(batches):
+        import pyarrow as pa
 
+        keep_memory()
+        voc = vocabulary_of(name)
+        names = [c.split()[0] for c in READ.split(", ")]
+        none = lambda n, *kinds: [pa.nulls(n, k) for k in kinds]
+        counts = pa.table({"word": pa.array([], pa.binary()), "c": pa.array([], pa.int64())})
+
+        def rows(counts):
+            for b in counts.to_batches():
+                yield pa.RecordBatch.from_arrays([*none(len(b), pa.int64(), pa.bool_(), pa.string(), pa.binary()), b.column("word"), b.column("c")], names=names)
+
+        for part in slices(batches, ["text"], 8 << 20):
+            words, at, n, ids, ends = _cut(voc, part.column("text"))
+            offsets = (np.r_[0, ends + 1] * voc.kind.itemsize).astype(np.int32)
+            ids = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), part.column("text"), ids, *none(len(n), pa.binary(), pa.int64())], names=names)
+            seen = np.bincount(at[~np.repeat(part.column("held_out").to_numpy(zero_copy_only=False), n)], minlength=len(words))
+            some = np.flatnonzero(seen)
+            more = pa.table({"word": words.take(pa.array(some)), "c": pa.array(seen[some])})
+            counts = pa.concat_tables([counts, more]).group_by("word").aggregate([("c", "sum")]).rename_columns(["word", "c"])
+            if len(counts) > most:
+                yield from rows(counts)
+                counts = counts.slice(0, 0)
+        yield from rows(counts)
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (bytes), c over docs."""
-    return docs.select("text").mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return run
 
 
 def _pieces(name: str):
@@ -267,109 +357,70 @@ def _pieces(name: str):
     def run(batches):
         import pyarrow as pa
 
+        keep_memory()
         voc = vocabulary_of(name)
         total = np.zeros((4, voc.size), np.int64)
         for b in batches:
-            for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
-                ids = voc.ids(w)
-                total[2, ids[0]] += c
-                total[3, ids[0]] += c == 1
-                for i in ids:
-                    total[0, i] += c
-                    total[1, i] += 1
+            if not b.num_rows:
+                continue
+            c = b.column("c").to_numpy()
+            ids, size = voc.many(b.column("word"))
+            first = ids[np.cumsum(size) - size]
+            for x, at, weight in zip(total, (ids, ids, first, first), (np.repeat(c, size), None, c, c == 1)):
+                x += np.bincount(at, weight, voc.size).astype(np.int64)
         some = np.flatnonzero(total.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x[some]) for x in total)], names=PIECES.replace(" long", "").split(", "))
 
     return run
 
 
-class Words(dict):
-    """word -> place in a pool of ids and counts (-1 for words that are not hot). Bounded by clear()."""
-
-    def __init__(self, voc: Vocabulary, hot: dict[bytes, int]):
-        super().__init__()
-        self.voc, self.hot = voc, hot
-        self.clear()
-
-    def clear(self):
-        super().clear()
-        self.ids, self.start, self.size, self.count = (array("q") for _ in range(4))
-
-    def __missing__(self, word: bytes) -> int:
-        ids = self.voc.ids(word)
-        at = self[word] = len(self)
-        self.start.append(len(self.ids))
-        self.size.append(len(ids))
-        self.count.append(self.hot.get(word, -1))
-        self.ids.extend(ids)
-        return at
-
-
-def _flat(pool: Words, texts: list[bytes]):
-    """The ids of each text's words and then its end, as one flat run: the words, their number by text, their places in the pool, which
-    units (words or ends) are words, where units begin, which are the ends, and the ids."""
-    words = [t.lower().split() for t in texts]
-    flat = [w for x in words for w in x]
-    n = np.array([len(x) for x in words], np.int64)
-    at = np.fromiter(map(pool.__getitem__, flat), np.int64, len(flat))
-    size, start = np.array(pool.size, np.int64)[at], np.array(pool.start, np.int64)[at]
-    last = np.cumsum(n + 1) - 1
-    unit = np.ones(len(flat) + len(n), np.int64)
-    own = np.ones(len(unit), bool)
-    own[last] = False
-    unit[own] = size
-    begin = np.cumsum(unit) - unit
-    ids = np.full(int(unit.sum()), pool.voc.end, np.int64)
-    inner = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
-    ids[np.repeat(own, unit)] = np.array(pool.ids, np.int64)[inner] if len(flat) else []
-    return flat, n, at, own, begin, last, ids
-
-
-@functools.cache
-def _pool(name: str) -> Words:
-    return Words(vocabulary_of(name), {})
+def _stored(column, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a column of READ in one run, and their numbers by row."""
+    parts = column.to_pylist()
+    return np.frombuffer(b"".join(parts), voc.kind).astype(np.int64), np.array([len(x) for x in parts], np.int64) // voc.kind.itemsize
 
 
-def _near(sent, most: int = 200_000):
+def _near(sent):
     """Counts of neighbours: cell (row of an id with a slot, place of its neighbour), n."""
 
     def run(batches):
         import pyarrow as pa
 
+        keep_memory()
         model = sent.value
-        pool = _pool(model.name)
+        voc = vocabulary_of(model.name)
         near = np.zeros((len(model.top) + 1) * 512, np.int64)
-        for part in slices(batches, ["text"]):
-            if len(pool) > most:
-                pool.clear()
-            *_, q = _flat(pool, raw(part.column("text")))
-            before = np.flatnonzero(q[:-1] != pool.voc.end)  # an end has no neighbour after it
-            a, b = q[before], q[before + 1]
-            near += np.bincount(model.row[a] * 512 + model.rank[b], minlength=len(near))
-            near += np.bincount(model.row[b] * 512 + 256 + model.rank[a], minlength=len(near))
+        for part in slices(batches, ["ids"]):
+            q, _ = _stored(part.column("ids"), voc)
+            before = q[:-1] != voc.end  # an end has no neighbour after it
+            row, rank = model.row.take(q) * 512, model.rank.take(q)
+            near += np.bincount((row[:-1] + rank[1:])[before], minlength=len(near))
+            near += np.bincount((row[1:] + rank[:-1])[before] + 256, minlength=len(near))
         some = np.flatnonzero(near)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(near[some])], names=["cell", "n"])
 
     return run
 
 
-def _learner(sent, turn: int, part: float, rate: float, most: int = 200_000):
-    """One group of training documents: the weights after `part` of its windows, times their number."""
+def _learner(sent, turn: int, part: float, rate: float):
+    """One group of training documents, given by ids or by text: the weights after `part` of its windows, times their number."""
 
     def run(table):
         import copy
 
         import pyarrow as pa
 
+        keep_memory()
         model = copy.deepcopy(sent.value)
-        pool = _pool(model.name)
-        if len(pool) > most:
-            pool.clear()
-        texts = sorted(raw(table.column("text").combine_chunks()))
-        *_, begin, last, ids = _flat(pool, texts)
-        seqs = np.split(ids, begin[last][:-1] + 1)
-        windows = sum(-(-len(q) // BLOCK) for q in seqs)
-        n = model.learn(seqs, max(1, round(windows * part)), rate, [turn, len(texts), windows])
+        voc = vocabulary_of(model.name)
+        if "ids" in table.column_names:
+            rows = table.column("ids").to_pylist()
+        else:
+            *_, ids, ends = _cut(voc, table.column("text").combine_chunks())
+            rows = [x.tobytes() for x in np.split(ids, ends[:-1] + 1)]
+        ids, size = _stored(pa.array(sorted(rows), pa.binary()), voc)
+        windows = int((-(-size // BLOCK)).sum())
+        n = model.learn(ids, size, max(1, round(windows * part)), rate, [turn, len(size), windows])
         flat = np.concatenate([p.ravel() for p in model.net.p.values()]).astype(np.float64)
         return pa.table({"at": pa.array(np.arange(len(flat))), "x": pa.array(flat * n), "n": pa.array(np.full(len(flat), n, np.int64))})
 
@@ -388,7 +439,7 @@ def fit(train: DataFrame, counts: DataFrame, voc: Vocabulary, vocabulary: str, e
     of[0, voc.end] = ends
     model = Model(vocabulary).prepare(of[0], voc)
     near = np.zeros((len(model.top) + 1) * 512, np.float32)
-    cells = train.select("text").mapInArrow(_near(spark.sparkContext.broadcast(model)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 512 a slot
+    cells = train.select("ids").mapInArrow(_near(spark.sparkContext.broadcast(model)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 512 a slot
     near[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     model.group(near.reshape(-1, 512), voc)
     blocks = float(of[0].sum()) / BLOCK
@@ -397,11 +448,11 @@ def fit(train: DataFrame, counts: DataFrame, voc: Vocabulary, vocabulary: str, e
         part = max(1.0, least_windows / blocks) / rounds if few else 1.0
         each = max(blocks, least_windows) / rounds
         groups = max(1, round(each / max(group, 8 * each**0.5)))
-        dealt = train.select("text", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(groups)).alias("g"), F.pmod(F.xxhash64("text", F.lit(4)), F.lit(rounds)).alias("turn"))
+        dealt = train.select("ids", F.pmod(F.xxhash64("ids", F.lit(3)), F.lit(groups)).alias("g"), F.pmod(F.xxhash64("ids", F.lit(4)), F.lit(rounds)).alias("turn"))
         for turn in range(rounds):
             sent = spark.sparkContext.broadcast(model)
             now = dealt if few else dealt.where(F.col("turn") == turn)
-            got = now.select("text", "g").groupBy("g").applyInArrow(_learner(sent, turn, part, 0.02 if turn < rounds - 2 else 0.005), "at long, x double, n long")
+            got = now.select("ids", "g").groupBy("g").applyInArrow(_learner(sent, turn, part, 0.02 if turn < rounds - 2 else 0.005), "at long, x double, n long")
             mean = got.groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()  # a row per weight
             if not mean.num_rows:  # no text has this round
                 continue
@@ -414,28 +465,28 @@ def fit(train: DataFrame, counts: DataFrame, voc: Vocabulary, vocabulary: str, e
     return model.finish(*of)
 
 
-def _rows(sent, most: int = 250_000):
-    state: dict = {}
-
+def _rows(sent):
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         from xxhash import xxh3_64_intdigest
 
+        keep_memory()
         model, hot, ends, total = sent.value
-        if "pool" not in state:
-            _pool.cache_clear()
-            state["pool"] = Words(vocabulary_of(model.name), hot)
-        pool = state["pool"]
-        voc = pool.voc
+        voc = vocabulary_of(model.name)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        for part in slices(batches, ["text"], 1 << 20):
+        words = pa.array(list(hot), pa.binary())
+        counts = np.append(np.fromiter(hot.values(), np.int64, len(hot)), -1)
+        for part in slices(batches, ["text"], 4 << 20):
             texts = [t.lower() for t in raw(part.column("text"))]
-            if len(pool) > most:
-                pool.clear()
-            flat, n, at, own, begin, last, ids = _flat(pool, texts)
-            count = np.array(pool.count, np.int64)[at]
-            cut = begin[last] + 1
-            cl, starts = model.score(np.split(ids, cut[:-1]))
+            flat, _ = _words(part.column("text"))
+            count = counts[pc.index_in(flat, words).fill_null(len(hot)).to_numpy()]
+            ids, size = _stored(part.column("ids"), voc)
+            begin = np.flatnonzero(voc.begins.take(ids))  # of units, which are words or ends
+            own = ids[begin] != voc.end
+            last = np.flatnonzero(~own)
+            n = np.diff(last, prepend=-1) - 1
+            cl, starts = model.score(ids, size)
             cl[begin] -= starts[begin]  # a word begins here for certain; that the last one was over counts where it is spelt
             spelt = np.add.reduceat(cl + model.inside[ids], begin)
             spelt[own] += starts[begin[np.flatnonzero(own) + 1]]
@@ -450,8 +501,7 @@ def _rows(sent, most: int = 250_000):
             base[last] = np.log10(ends + 1.0) - np.log10(total)
             first = np.r_[0, last[:-1] + 1]
             cold = own & (c <= 0)
-            places = np.flatnonzero(cold[own])
-            struct = pa.StructArray.from_arrays([pa.array([flat[i] for i in places.tolist()], pa.binary()), pa.array(a[cold].astype(np.float32)), pa.array(b[cold].astype(np.float32))], names=["word", "a", "b"])
+            struct = pa.StructArray.from_arrays([flat.filter(pa.array(cold[own])), pa.array(a[cold].astype(np.float32)), pa.array(b[cold].astype(np.float32))], names=["word", "a", "b"])
             k = np.add.reduceat(cold.astype(np.int64), first)
             h = [xxh3_64_intdigest(t) - (1 << 63) for t in texts]
             cols = (h, n + 1, n - k + (ends > 0), np.add.reduceat(base, first), np.add.reduceat(value, first) / np.log(10))
@@ -469,8 +519,10 @@ def score(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", folds: int
     scratch = scratch or Scratch(spark, "lm")
     x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     x = x.withColumn("held_out", crc(folds) == fold)
+    read = scratch.put(x.select("doc_id", "held_out", "text").mapInArrow(_read(vocabulary), READ))
+    counts = scratch.put(read.where("c is not null").groupBy("word").agg(F.sum("c").alias("c")))
+    x = read.where("c is null").select("doc_id", "held_out", "text", "ids")
     train = x.where(~F.col("held_out"))
-    counts = scratch.put(word_counts(train))
     types, words, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first() + (train.count(),)
     n, v = words + rows, types + (rows > 0)
     model = fit(train, counts, Vocabulary(vocabulary), vocabulary, rows)
@@ -484,6 +536,7 @@ def score(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", folds: int
     top = {bytes(r[0]): r[1] for r in counts.where(F.col("c") >= least).collect()}
     sent = spark.sparkContext.broadcast((model, top, rows, n + v + 1))
     y = scratch.put(x.mapInArrow(_rows(sent), ROWS))
+    scratch.drop(read)
     # words outside the hot ones: counts by a join, sums per text, over the number of its repeated rows
     cold = y.select("doc_id", "h", F.explode("cold").alias("x")).select("doc_id", "h", "x.*")
     tail = counts.where(F.col("c") < least)

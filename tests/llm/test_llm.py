@@ -461,3 +461,54 @@ def test_lm_learns_from_every_training_text(spark, monkeypatch):
     monkeypatch.undo()
     got = learner(types.SimpleNamespace(value=seen["model"]), 0, 1.0, 0.02)(pa.table({"text": texts}))
     assert got.column("n")[0].as_py() == sum(-(-(len(q) + 1) // lm.BLOCK) for q in ids)
+
+
+def test_lm_cuts_each_text_once(monkeypatch):
+    """One pass gives the ids of every text, word by word, and the training words' counts; neighbours, training and scores cut no text again."""
+    import collections
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    name = "byte_bpe_50k.tiktoken"
+    voc = lm.vocabulary_of(name)
+    texts = ["", " \t\n", "\N{NO-BREAK SPACE}", "A\N{NO-BREAK SPACE} b \N{NO-BREAK SPACE}\N{IDEOGRAPHIC SPACE} c\x85 d \N{LINE SEPARATOR}", "x's 'S \xe9 \N{CJK UNIFIED IDEOGRAPH-4F60}\N{NO-BREAK SPACE}\N{NO-BREAK SPACE} \U0001f642", *(prose(40 + i) for i in range(30))]
+    held = [i % 7 == 2 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(held), pa.array(texts)], names=["doc_id", "held_out", "text"])
+    got = pa.Table.from_batches(lm._read(name)([batch])).to_pylist()
+    words = [t.encode().lower().split() for t in texts]
+    ids = [np.array(sum(map(voc.ids, w), []) + [voc.end]) for w in words]
+    rows = [r for r in got if r["c"] is None]
+    assert [r["ids"] for r in rows] == [q.astype(voc.kind).tobytes() for q in ids]
+    assert {r["word"]: r["c"] for r in got if r["c"] is not None} == collections.Counter(w for w, h in zip(words, held) if not h for w in w)
+
+    flat, size = np.concatenate(ids), np.array([len(q) for q in ids])
+    model = lm.Model(name).prepare(np.bincount(flat, minlength=voc.size), voc)
+    monkeypatch.setattr(voc, "encoding", None)
+    sent = types.SimpleNamespace(value=model)
+    docs = pa.table({k: [r[k] for r in rows] for k in ("doc_id", "held_out", "text")} | {"ids": pa.array([r["ids"] for r in rows], pa.binary())})
+    (cells,) = lm._near(sent)(docs.to_batches())
+    near = np.bincount(cells.column("cell"), cells.column("n"), (len(model.top) + 1) * 512).reshape(-1, 512)
+    model.group(near, voc).finish(*np.ones((4, voc.size)))
+    assert lm._learner(sent, 0, 1.0, 0.02)(docs.select(["ids"])).column("n")[0].as_py() == (-(-size // lm.BLOCK)).sum()
+    assert sum(b.num_rows for b in lm._rows(types.SimpleNamespace(value=(model, {}, 1, 9)))(docs.to_batches())) == len(texts)
+    alone = [model.score(q, np.array([len(q)])) for q in ids]  # a text's scores do not hang on what lies beside it in the run
+    assert all(np.allclose(np.concatenate([x[i] for x in alone]), y, atol=1e-5) for i, y in enumerate(model.score(flat, size)))
+
+    s, y, valid = model.blocks(flat, size)  # slopes are those of the cross-entropy
+    y, share = y[1:].ravel(), valid[1:].ravel() / np.float32(valid.sum())
+    g, net = model.net.slopes(s, y, share), model.net
+
+    def loss():
+        x = net.forward(s)[0].astype(np.float64) + net.p["b"]
+        return (share * (np.log(np.exp(x).sum(1)) - x[np.arange(len(y)), y])).sum()
+
+    for k, slope in g.items():
+        step, kept = (slope / np.abs(slope).max() * 0.02).astype(np.float32), net.p[k]
+        net.p[k] = kept + step
+        more = loss()
+        net.p[k] = kept - step
+        less = loss()
+        net.p[k] = kept
+        assert more - less == pytest.approx(2 * (slope * step).sum(), rel=0.05, abs=1e-6), k
