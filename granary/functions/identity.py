@@ -43,6 +43,22 @@ def key_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+def packed(x: Column) -> Column:
+    """An id as bytes, one to one and for joins: a digest as its own 32 after a 0, anything else as UTF-8 after a 1."""
+    byte = lambda n: F.lit(bytearray([n]))
+    return F.when(x.rlike("^[0-9a-f]{64}\\z"), F.concat(byte(0), F.unhex(x))).otherwise(F.concat(byte(1), x.cast("binary")))
+
+
+def packed_key(name: str) -> Column:
+    """packed() for the side that is looked up: never null, or the planner tests for null, hashing every row once more. Null equals no packed id."""
+    return F.coalesce(packed(F.col(name)), F.lit(bytearray([2])))
+
+
+def unpacked(x: Column) -> Column:
+    rest = F.substring(x, 2, 1 << 30)
+    return F.when(F.hex(F.substring(x, 1, 1)) == "00", F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def table_hash(df: DataFrame, *columns: str, buckets: int = 256) -> DataFrame:
     """One row, `hash`: independent of row order. Rows are digested, then buckets of digests, so no task gathers them all."""
     row = df.select(F.sha2(F.to_json(F.struct(*sorted(columns or df.columns)), {"ignoreNullFields": "false"}), 256).alias("d"))

@@ -37,12 +37,25 @@ def group_entities(groups: DataFrame) -> DataFrame:
     return side("subject").unionByName(side("object")).distinct()
 
 
+def _sized_groups(groups: DataFrame) -> DataFrame:
+    """k (the packed group_id), impact, entity_ids. groups: group_id, impact, arguments."""
+    own = F.array_compact(F.array(*(F.when(F.col(f"{r}_kind") == "entity", F.col(r)) for r in ("subject", "object"))))
+    return groups.groupBy(identity.packed_key("group_id").alias("k")).agg(F.max("impact").alias("impact"), F.flatten(F.collect_set(own)).alias("entity_ids"))
+
+
+def _sized_pairs(links: DataFrame, sized: DataFrame) -> DataFrame:
+    """source_ref, impact, group_ids, entity_ids of a link's two groups; what nobody reads is not gathered. sized: k, impact, entity_ids."""
+    ends = links.select("source_ref", F.explode(F.array_distinct(F.array(*(identity.packed(F.col(c)) for c in ("left_group_id", "right_group_id"))))).alias("k"))
+    x = ends.join(sized, "k", "left").groupBy("source_ref")
+    ids = F.sort_array(F.transform(F.collect_set("k"), identity.unpacked))
+    return x.agg(F.coalesce(F.max("impact"), F.lit(0.0)).alias("impact"), ids.alias("group_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("entity_ids")))).alias("entity_ids"))
+
+
 def pair_impact(links: DataFrame, groups: DataFrame) -> DataFrame:
     """source_ref, impact (the greater of its two groups'; 0 for unknown ones), group_ids. links: source_ref, left_group_id,
     right_group_id; groups: group_id, impact."""
-    ends = links.select("source_ref", F.explode(F.array_distinct(F.array("left_group_id", "right_group_id"))).alias("group_id"))
-    x = ends.join(groups.select("group_id", "impact"), "group_id", "left").groupBy("source_ref")
-    return x.agg(F.coalesce(F.max("impact"), F.lit(0.0)).alias("impact"), F.sort_array(F.collect_set("group_id")).alias("group_ids"))
+    sized = groups.select(identity.packed_key("group_id").alias("k"), "impact", F.array().cast("array<string>").alias("entity_ids"))
+    return _sized_pairs(links, sized).drop("entity_ids")
 
 
 def items(hypotheses: DataFrame, relations: DataFrame, supersessions: DataFrame, conflicts: DataFrame, notes: DataFrame, cards: DataFrame, groups: DataFrame, members: DataFrame, policy: Policy = Policy()) -> DataFrame:
@@ -52,24 +65,28 @@ def items(hypotheses: DataFrame, relations: DataFrame, supersessions: DataFrame,
     members: assertion_id, group_id."""
     no, none = F.lit(False), F.array().cast("array<string>")
     by_entity = cards.select("entity_id", entity_impact(F.col("max_impact"), F.col("n_props"), policy).alias("impact"))
-    touched = group_entities(groups)
+    sized = _sized_groups(groups)
 
     def of_entities(x: DataFrame) -> DataFrame:  # source_ref, entity_id, score, disposition, code
         y = x.join(by_entity, "entity_id", "left").withColumns({"impact": F.coalesce("impact", F.lit(0.0)), "entity_ids": F.array_compact(F.array("entity_id"))})
         return y.withColumns({"unknown": no, "group_ids": none})
 
     def of_groups(x: DataFrame) -> DataFrame:  # source_ref, left_group_id, right_group_id, score, disposition, unknown
-        sized = pair_impact(x, groups)
-        who = sized.select("source_ref", F.explode("group_ids").alias("group_id")).join(touched, "group_id").groupBy("source_ref").agg(F.sort_array(F.collect_set("entity_id")).alias("entity_ids"))
-        y = x.join(sized, "source_ref").join(who, "source_ref", "left")
-        return y.withColumns({"entity_ids": F.coalesce("entity_ids", none), "code": F.lit(None).cast("string")})
-
-    at = lambda end, name: members.select(F.col("assertion_id").alias(end), F.col("group_id").alias(name))
-    s = supersessions.join(at("predecessor_id", "left_group_id"), "predecessor_id", "left").join(at("successor_id", "right_group_id"), "successor_id", "left")
+        return x.join(_sized_pairs(x, sized), "source_ref").withColumn("code", F.lit(None).cast("string"))
+
+    # an assertion is sized once; its supersessions then carry numbers instead of ids of groups
+    of = members.select("assertion_id", identity.packed(F.col("group_id")).alias("k")).join(sized, "k", "left")
+    at = lambda end, name: of.select(F.col("assertion_id").alias(end), *(F.col(c).alias(f"{name}_{c}") for c in ("k", "impact", "entity_ids")))
+    s = supersessions.join(at("predecessor_id", "left"), "predecessor_id", "left").join(at("successor_id", "right"), "successor_id", "left")
+    both = lambda c: F.array_compact(F.array(f"left_{c}", f"right_{c}"))
+    s = s.select(
+        F.col("supersession_id").alias("source_ref"), "score", "disposition", (F.col("chronology") == "unknown").alias("unknown"), F.lit(None).cast("string").alias("code"), F.coalesce(F.greatest("left_impact", "right_impact"), F.lit(0.0)).alias("impact"),
+        F.sort_array(F.transform(F.array_distinct(both("k")), identity.unpacked)).alias("group_ids"), F.array_sort(F.array_distinct(F.flatten(both("entity_ids")))).alias("entity_ids"),
+    )
     parts = {
         "entity_resolution": of_entities(hypotheses.select(F.col("hypothesis_id").alias("source_ref"), "entity_id", "score", "disposition", F.lit(None).cast("string").alias("code"))),
         "relation": of_groups(relations.select(F.col("relation_id").alias("source_ref"), F.col("source_group_id").alias("left_group_id"), F.col("target_group_id").alias("right_group_id"), "score", "disposition", no.alias("unknown"))),
-        "supersession": of_groups(s.select(F.col("supersession_id").alias("source_ref"), "left_group_id", "right_group_id", "score", "disposition", (F.col("chronology") == "unknown").alias("unknown"))),
+        "supersession": s,
         "conflict": of_groups(conflicts.select(F.col("conflict_id").alias("source_ref"), "left_group_id", "right_group_id", "score", "disposition", (F.col("effective_relation") == "unknown").alias("unknown"))),
     }
     seen = notes.select(F.concat_ws(":", "code", "ref").alias("source_ref"), "entity_id", F.lit(0.5).alias("score"), F.lit("diagnostic").alias("disposition"), F.lit(None).cast("string").alias("code"))

@@ -327,10 +327,9 @@ im AS (SELECT lk.source_ref, max(coalesce(g.impact, 0)) AS impact FROM lk JOIN g
 
 def _links(spark, d):
     a = T.assertions(spark, d).withColumns({"subject_kind": F.lit("entity"), "object_kind": F.lit("literal")})
-    i = F.col("assertion_id").cast("long")
-    x = a.select(tag("l", i).alias("source_ref"), F.lag("signature_id").over(Window.partitionBy("predicate").orderBy(i)).alias("left_group_id"), F.col("signature_id").alias("right_group_id"), i.alias("i"))
+    x = T.neighbours(spark, d).select(tag("l", "i").alias("source_ref"), "left_group_id", "right_group_id", "i")
     g = normalization.groups(a, members=False).withColumns({"group_id": F.col("signature_id"), "subject_kind": F.lit("entity"), "object_kind": F.lit("literal")})
-    return a, x.where("left_group_id is not null"), g
+    return a, x, g
 
 
 @query(f"WITH {LINKS} SELECT source_ref, round(impact, 9) AS impact, CASE WHEN l = r THEN l ELSE least(l, r) || ',' || greatest(l, r) END AS ids FROM lk JOIN im USING (source_ref)")

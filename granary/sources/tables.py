@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import identity
@@ -44,14 +44,34 @@ def flawed(x: DataFrame) -> tuple[DataFrame, DataFrame]:
     return c, evidence
 
 
+def signed(i: Column, user: Column, kind: Column) -> dict[str, Column]:
+    """What an event's assertion is signed by."""
+    return {
+        "subject": F.concat(F.lit("u"), user.cast("string")), "predicate": kind, "object": F.concat(F.lit("o"), (i % 3).cast("string")), "polarity": F.when(i % 4 == 0, "negative").otherwise("positive"),
+        "epistemic_type": F.when(i % 2 == 0, "event").otherwise("fact"), "memory_class": F.lit("event"),
+    }
+
+
+def neighbours(spark: SparkSession, sf_dir: str, span: int = 1 << 14) -> DataFrame:
+    """i, left_group_id, right_group_id: each event with the one before it of its type, by their signatures. A type has a large share of all
+    events, so windows hold `span` ids of a type, and the last event before them; signatures are made after."""
+    e = read(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("i"), "user_id", "event_type")
+    e = e.withColumns({"block": F.floor(F.col("i") / span), "carried": F.lit(False)})
+    last = e.groupBy("event_type", "block").agg(F.max(F.struct("i", "user_id")).alias("last"))
+    last = last.withColumn("last", F.lag("last").over(Window.partitionBy("event_type").orderBy("block"))).where("last is not null")
+    x = e.unionByName(last.select("last.i", "last.user_id", "event_type", "block", F.lit(True).alias("carried")))
+    x = x.withColumn("before", F.lag(F.struct("i", "user_id")).over(Window.partitionBy("event_type", "block").orderBy("i"))).where("not carried and before is not null")
+    at = lambda i, user: identity.key_id(*signed(F.col(i), F.col(user), F.col("event_type")).values())
+    return x.select("i", at("before.i", "before.user_id").alias("left_group_id"), at("i", "user_id").alias("right_group_id"))
+
+
 def assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed assertions from events: user, event type, a value's bucket."""
     e = read(spark, sf_dir, "events")
     i = F.col("event_id")
     t = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     x = e.select(
-        i.cast("string").alias("assertion_id"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("subject"), F.col("event_type").alias("predicate"), F.concat(F.lit("o"), (i % 3).cast("string")).alias("object"),
-        F.when(i % 4 == 0, "negative").otherwise("positive").alias("polarity"), F.when(i % 2 == 0, "event").otherwise("fact").alias("epistemic_type"), F.lit("event").alias("memory_class"),
+        i.cast("string").alias("assertion_id"), *(x.alias(name) for name, x in signed(i, F.col("user_id"), F.col("event_type")).items()),
         ((i % 9) / 10.0).alias("source_origin_probability"), ((i % 8) / 10.0).alias("extractor_confidence"), ((i % 10) / 10.0).alias("importance"), ((i % 7) / 10.0).alias("durability"),
         F.when(i % 11 == 0, None).when(i % 13 == 0, F.concat(t, F.lit("Z"))).when(i % 17 == 0, "long ago").otherwise(t).alias("occurred_at"), (i % 19 == 0).alias("is_proxy"),
     )
