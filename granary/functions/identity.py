@@ -49,9 +49,10 @@ def packed(x: Column) -> Column:
     return F.when(x.rlike("^[0-9a-f]{64}\\z"), F.concat(byte(0), F.unhex(x))).otherwise(F.concat(byte(1), x.cast("binary")))
 
 
-def packed_key(name: str) -> Column:
-    """packed() for the side that is looked up: never null, or the planner tests for null, hashing every row once more. Null equals no packed id."""
-    return F.coalesce(packed(F.col(name)), F.lit(bytearray([2])))
+def packed_key(name: str, null: int = 2) -> Column:
+    """packed(), but never null: the planner would test a join's key for null, which hashes every row once more. Null becomes a byte
+    that no packed id is; of two sides that both may hold it, each takes its own."""
+    return F.coalesce(packed(F.col(name)), F.lit(bytearray([null])))
 
 
 def unpacked(x: Column) -> Column:

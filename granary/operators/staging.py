@@ -71,17 +71,28 @@ def eligibility(candidates: DataFrame, evidence: DataFrame, chunks: DataFrame, c
 
 def relations(links: DataFrame, members: DataFrame, eligible: DataFrame, accepted: DataFrame, capability: Capability) -> tuple[DataFrame, DataFrame]:
     """(source_candidate_id, target_candidate_id, relation_type, source_ref) and (code, source_ref). links: source_ref,
-    left_group_id, right_group_id, relation_type, structural; members: group_id, candidate_id; accepted: source_ref. A group stands
-    for a record only if exactly one member is eligible."""
-    x = links.where(F.col("relation_type").isin(RELATIONS)).join(accepted.select("source_ref").distinct().withColumn("ok", F.lit(True)), "source_ref", "left")
-    one = members.join(eligible.where("eligibility = 'eligible'").select("candidate_id"), "candidate_id", "left_semi").groupBy("group_id").agg(F.min("candidate_id").alias("c"), F.count(F.lit(1)).alias("k"))
-    side = lambda s: one.select(F.col("group_id").alias(f"{s}_group_id"), F.col("c").alias(f"{s}_c"), F.col("k").alias(f"{s}_k"))
-    x = x.join(side("left"), "left_group_id", "left").join(side("right"), "right_group_id", "left")
-    single = F.coalesce((F.col("left_k") == 1) & (F.col("right_k") == 1), F.lit(False))
-    code = F.when(F.col("structural"), "structural_relation_not_promoted").when(F.col("ok").isNull(), "relation_not_adjudicated_accepted").when(~F.col("relation_type").isin(list(capability.relation_types)), "unsupported_relation").when(~single, "ambiguous_group_to_record_relation")
-    x = x.withColumn("code", code)
-    out = x.where("code is null and left_c <> right_c").select(F.col("left_c").alias("source_candidate_id"), F.col("right_c").alias("target_candidate_id"), "relation_type", "source_ref").dropDuplicates()
-    return out, x.where("code is not null").select("code", "source_ref").distinct()
+    left_group_id, right_group_id, relation_type, structural and, of emissions(), accepted (null: look it up); members: group_id,
+    candidate_id; accepted: source_ref. A group stands for a record only if exactly one member is eligible. Links that have a code
+    without their groups are not joined with these."""
+    x = links.where(F.col("relation_type").isin(RELATIONS))
+    ok = accepted.select("source_ref").distinct().withColumn("ok", F.lit(True))
+    ends = [identity.packed_key(c, 3).alias(c) for c in ("left_group_id", "right_group_id")]
+    if "accepted" in x.columns:
+        known = x.where("accepted is not null").select("source_ref", *ends, "relation_type", "structural", F.when(F.col("accepted"), True).alias("ok"))
+        x = x.where("accepted is null")
+    else:
+        known = None
+    x = x.select("source_ref", *ends, "relation_type", "structural").join(ok, "source_ref", "left")
+    x = x if known is None else x.unionByName(known)
+    structural, supported = F.coalesce("structural", F.lit(False)), F.col("relation_type").isin(list(capability.relation_types))
+    code = F.when(structural, "structural_relation_not_promoted").when(F.col("ok").isNull(), "relation_not_adjudicated_accepted").when(~supported, "unsupported_relation")
+    one = members.join(eligible.where("eligibility = 'eligible'").select("candidate_id"), "candidate_id", "left_semi").groupBy(identity.packed_key("group_id").alias("k")).agg(F.min("candidate_id").alias("c"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    side = lambda s: one.select(F.col("k").alias(f"{s}_group_id"), F.col("c").alias(f"{s}_c"))
+    open_ = x.where(~structural & F.col("ok").isNotNull() & supported).join(side("left"), "left_group_id", "left").join(side("right"), "right_group_id", "left")
+    out = open_.where("left_c <> right_c").select(F.col("left_c").alias("source_candidate_id"), F.col("right_c").alias("target_candidate_id"), "relation_type", "source_ref").dropDuplicates()
+    shut = x.select(code.alias("code"), "source_ref").where("code is not null")
+    unclear = open_.where("left_c is null or right_c is null").select(F.lit("ambiguous_group_to_record_relation").alias("code"), "source_ref")
+    return out, shut.unionByName(unclear).distinct()
 
 
 def accepted_refs(adjudications: DataFrame, items: DataFrame, strict: bool = True) -> DataFrame:
@@ -94,17 +105,21 @@ def accepted_refs(adjudications: DataFrame, items: DataFrame, strict: bool = Tru
 
 
 def emissions(relations: DataFrame, supersessions: DataFrame, conflicts: DataFrame, members: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Links for relations(): source_ref, left_group_id, right_group_id, relation_type, structural. Relations all; supersessions that were
-    reviewable and accepted, as predecessor `supersedes` successor; accepted conflicts that overlap in time, as `contradicts`. members:
-    assertion_id, group_id; accepted: source_ref."""
+    """Links for relations(): source_ref, left_group_id, right_group_id, relation_type, structural, accepted (null for relations: not
+    looked up). Relations all; supersessions that were reviewable and accepted, as predecessor `supersedes` successor; accepted conflicts
+    that overlap in time, as `contradicts`. members: assertion_id, group_id; accepted: source_ref."""
     ok = accepted.select("source_ref").distinct()
-    no = F.lit(False).alias("structural")
-    r = relations.select(F.col("relation_id").alias("source_ref"), F.col("source_group_id").alias("left_group_id"), F.col("target_group_id").alias("right_group_id"), "relation_type", (F.col("disposition") == "structural").alias("structural"))
-    at = lambda end, name: members.select(F.col("assertion_id").alias(end), F.col("group_id").alias(name))
-    s = supersessions.where(F.col("disposition").isin("suggested", "review_required")).join(at("predecessor_id", "left_group_id"), "predecessor_id").join(at("successor_id", "right_group_id"), "successor_id")
-    s = s.select(F.col("supersession_id").alias("source_ref"), "left_group_id", "right_group_id", F.lit("supersedes").alias("relation_type"), no).join(ok, "source_ref", "left_semi")
+    no, yes = F.lit(False).alias("structural"), F.lit(True).alias("accepted")
+    r = relations.select(F.col("relation_id").alias("source_ref"), F.col("source_group_id").alias("left_group_id"), F.col("target_group_id").alias("right_group_id"), "relation_type", (F.col("disposition") == "structural").alias("structural"), F.lit(None).cast("boolean").alias("accepted"))
+    of = members.select("assertion_id", identity.packed(F.col("group_id")).alias("k"))
+    at = lambda end, name: of.select(F.col("assertion_id").alias(end), F.col("k").alias(name))
+    s = supersessions.where(F.col("disposition").isin("suggested", "review_required")).select(F.col("supersession_id").alias("source_ref"), "predecessor_id", "successor_id").join(ok, "source_ref", "left_semi")
+    s = s.join(at("predecessor_id", "l"), "predecessor_id").join(at("successor_id", "r"), "successor_id")
+    back = lambda l, r: (identity.unpacked(F.col(l)).alias("left_group_id"), identity.unpacked(F.col(r)).alias("right_group_id"))
+    s = s.select("source_ref", *back("l", "r"), F.lit("supersedes").alias("relation_type"), no, yes)
     c = conflicts.where(~F.col("disposition").isin("temporally_disjoint", "change_over_time_candidate"))
-    c = c.select(F.col("conflict_id").alias("source_ref"), "left_group_id", "right_group_id", F.lit("contradicts").alias("relation_type"), no).join(ok, "source_ref", "left_semi")
+    c = c.select(F.col("conflict_id").alias("source_ref"), identity.packed(F.col("left_group_id")).alias("l"), identity.packed(F.col("right_group_id")).alias("r")).join(ok, "source_ref", "left_semi")
+    c = c.select("source_ref", *back("l", "r"), F.lit("contradicts").alias("relation_type"), no, yes)
     return r.unionByName(s).unionByName(c)
 
 

@@ -386,15 +386,15 @@ def _emitted(spark, d):
     i = F.col("i")
     rel = x.select(F.col("source_ref").alias("relation_id"), F.col("left_group_id").alias("source_group_id"), F.col("right_group_id").alias("target_group_id"), F.element_at(F.array(*map(F.lit, ("supports", "contradicts", "polarity_opposes", "refines"))), (i % 4 + 1).cast("int")).alias("relation_type"), F.when(i % 7 == 0, "structural").otherwise("suggested").alias("disposition"))
     con = x.select(tag("k", "source_ref").alias("conflict_id"), "left_group_id", "right_group_id", F.when(i % 5 == 0, "temporally_disjoint").when(i % 5 == 1, "change_over_time_candidate").otherwise("suggested").alias("disposition"))
-    even = lambda df, c: df.where(F.regexp_extract(c, "[0-9]+", 0).cast("long") % 2 == 0).select(F.col(c).alias("source_ref"))
-    ok = even(rel, "relation_id").unionByName(even(sup, "supersession_id")).unionByName(even(con, "conflict_id"))
+    # accepted are even ids of each kind, those of events that no link ends at as well
+    ok = a.where(F.col("assertion_id").cast("long") % 2 == 0).select(F.explode(F.array(*(F.concat(F.lit(p), "assertion_id") for p in ("l", "s", "kl")))).alias("source_ref"))
     members = a.select("assertion_id", F.col("signature_id").alias("group_id"))
     return a, staging.emissions(rel, sup, con, members, ok), ok, members
 
 
 @query(f"WITH {EMITTED} SELECT source_ref, l AS left_group_id, r AS right_group_id, t AS relation_type, structural FROM em")
 def k11_emissions(spark, d):
-    return _emitted(spark, d)[1]
+    return _emitted(spark, d)[1].drop("accepted")
 
 
 CODED = EMITTED + """, one AS (SELECT signature_id, min(assertion_id) AS c, count(*) AS k FROM a WHERE i % 3 <> 0 GROUP BY ALL),
