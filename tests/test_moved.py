@@ -28,7 +28,7 @@ def moved(spark, name):
 
 
 # of 1000 events
-@pytest.mark.parametrize("name, most", [("k10_items", 550_000), ("k11_records", 550_000)])
+@pytest.mark.parametrize("name, most", [("k10_items", 550_000), ("k11_records", 550_000), ("k11_relation_codes", 550_000)])
 def test_few_bytes_move(spark, name, most):
     assert moved(spark, name) < most
 
